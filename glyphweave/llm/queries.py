@@ -5,9 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
 from .html_extraction import extract_main_text
+from .secret_scan import RULES, scan_versions, spans_string
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_versions(spark, read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    kinds = F.col("spans")["kind"]
+    counts = [F.size(F.filter(kinds, F.lit(i).__eq__)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(RULES)]
+    listed = found.select(F.col("path").alias("doc_id"), *counts, spans_string(F.col("spans")).alias("spans"))
+    return listed.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("spans", 256).alias("base_sha256"), "spans")
+
+
+def _op7_sql() -> str:
+    quoted = ["'" + r.pattern.replace("'", "''") + "'" for r in RULES]
+    each = " UNION ALL ".join(f"SELECT doc_id, {i} AS kind, '{r.kind}' AS name, regexp_extract_all(t, {q}, 0) AS hits, string_split_regex(t, {q}) AS gaps FROM d" for i, (r, q) in enumerate(zip(RULES, quoted, strict=True)))
+    good = " OR ".join(f"(kind = {i} AND length(regexp_extract(hit, {q}, {r.group})) >= {r.least})" for i, (r, q) in enumerate(zip(RULES, quoted, strict=True)))
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        m AS ({each}),
+        u AS (SELECT doc_id, kind, name, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM m WHERE len(hits) > 0),
+        p AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM u),
+        f AS (SELECT doc_id, kind, name || ':' || (stop - length(hit))::BIGINT || ':' || stop::BIGINT AS span, stop - length(hit) AS start FROM p WHERE {good}),
+        g AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind) AS spans FROM f GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN g USING (doc_id)"""
+
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +42,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_secret_scan": op7_secret_scan,
     "op10_html_extraction": op10_html_extraction,
 }
 
 #: DuckDB SQL for those queries that SQL can express at this size.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_secret_scan": _op7_sql(),
+}
