@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .html_extraction import extract_main_text
+from .media import encode_texts, media_features
 from .secret_scan import RULES, scan_versions, spans_string
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = encode_texts(read_table(spark, sf_dir, "documents"))
+    read = media_features(stored, keep=("doc_id", "n_bytes"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_versions(spark, read_table(spark, sf_dir, "documents"), "doc_id", "text")
     kinds = F.col("spans")["kind"]
@@ -42,6 +49,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media": op1_media,
     "op7_secret_scan": op7_secret_scan,
     "op10_html_extraction": op10_html_extraction,
 }
