@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .html_extraction import extract_main_text
+from .line_dedup import dedup_lines
 from .media import encode_texts, media_features
+from .mixing import mix
+from .packing import pack
 from .secret_scan import RULES, scan_versions, spans_string
 
+#: Times that mixing uses a document at most.
+REPEATS = 2.0
+
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = encode_texts(read_table(spark, sf_dir, "documents"))
@@ -19,6 +25,22 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs)
+
+
+def tokenizer_path() -> str:
+    """Public tokenizer file of the packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_versions(spark, read_table(spark, sf_dir, "documents"), "doc_id", "text")
     kinds = F.col("spans")["kind"]
@@ -48,9 +70,17 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(docs, repeats=REPEATS).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
+    "op9_mixing": op9_mixing,
     "op10_html_extraction": op10_html_extraction,
 }
 
