@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .media import encode_texts, media_features
 from .mixing import mix
 from .packing import pack
+from .quality import classify, train
 from .secret_scan import RULES, scan_versions, spans_string
 
 #: Times that mixing uses a document at most.
@@ -25,6 +26,11 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return classify(docs, train(docs, read_table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs)
@@ -77,6 +83,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
+    "op2_quality": op2_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
