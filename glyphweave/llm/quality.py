@@ -25,7 +25,7 @@ from .common import Scratch, text_batches
 TEXT_FEATURES = ("upper", "digit", "mark", "symbol", "space", "wide", "repeated_words", "top_word", "next_same", "word_length", "one_letter", "stops", "marks_per_word", "repeated_pairs")
 META_FEATURES = ("log_chars", "log_lines", "log_line_mean", "log_line_max", "line_spread", "bytes_per_char", "known_lang", "known_source")
 #: Bounds of the score from which a document is accepted.
-CUTS = (0.02, 0.5)
+CUTS = (0.02, 0.25)
 #: Characters counted as symbols rather than marks of a sentence.
 SYMBOLS = b"#$%&*+/<=>@[\\]^_`{|}~"
 
@@ -62,7 +62,7 @@ def text_features(data: np.ndarray, offsets: np.ndarray, texts: list[str]) -> np
         counts = Counter(words)
         letters = sum(map(len, words))
         pairs = len(set(zip(words, words[1:], strict=False)))
-        out[i, 6:] = (1 - len(counts) / n, max(counts.values()) / n, sum(map(eq, words, words[1:])) / n, letters / n, sum(v for w, v in counts.items() if len(w) == 1) / n, text.count(".") / n, out[i, 2] * size[i] / n, 1 - pairs / max(1, n - 1))
+        out[i, 6:] = (1 - len(counts) / n, (max(counts.values()) - 1) / n, sum(map(eq, words, words[1:])) / n, letters / n, sum(v for w, v in counts.items() if len(w) == 1) / n, text.count(".") / n, out[i, 2] * size[i] / n, 1 - pairs / max(1, n - 1))
     return out
 
 
