@@ -12,6 +12,7 @@ from .html_extraction import extract_main_text
 from .line_dedup import dedup_lines
 from .media import encode_texts, media_features
 from .mixing import mix
+from .ngram_join import ngram_join
 from .packing import pack
 from .quality import classify, train
 from .secret_scan import RULES, scan_versions, spans_string
@@ -31,6 +32,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, train(docs, read_table(spark, sf_dir, "labels"))).drop("text")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join(docs, size=4, num=85, den=100)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs)
@@ -84,6 +90,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_quality": op2_quality,
+    "op3_ngram_join": op3_ngram_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
