@@ -144,14 +144,16 @@ def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size
     if same is not None:
         shared = scratch.save(shared, "met")
         renamed = same.select(F.col("id").alias("__i"), F.col("first").alias("__f"))
-        shared = shared.join(renamed, shared["id"] == renamed["__i"], "left").select("key", F.coalesce("__f", "id").alias("id"), "size", "pos").distinct()
+        shared = shared.join(renamed, shared["id"] == renamed["__i"], "left").select("key", F.coalesce("__f", "id").alias("id"), "size", "pos")
+    shared = shared.distinct()
     # sizes of one class differ by less than the similarity allows
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(den / num)) + F.lit(1e-9)).cast("int")
     shared = scratch.save(shared.withColumn("band", band), "shared")
     hubs = scratch.save(shared.groupBy("key", "band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").select("key", "band", "hub"), "hubs")
     first = scratch.save(shared.join(hubs, ["key", "band"]).where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "first")
     ids = shared.select("id").distinct()
-    texts = scratch.save(items.join(ids.hint("shuffle_hash"), "id").select("id", "text"), "texts")
+    texts = items.join(ids.hint("shuffle_hash"), "id").withColumn("digest", F.xxhash64("text"))
+    texts = scratch.save(texts.dropDuplicates(["id", "digest"]).select("id", "text"), "texts")
     found = verify(scratch, first, texts, size, num, den)
     links = scratch.save(found if tied is None else found.union(tied), "links")
     comps = scratch.save(components(scratch, links), "components")

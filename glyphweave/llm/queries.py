@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .embedding_join import near_vectors
 from .html_extraction import extract_main_text
 from .line_dedup import dedup_lines
 from .media import encode_texts, media_features
@@ -16,6 +17,7 @@ from .ngram_join import ngram_join
 from .packing import pack
 from .quality import classify, train
 from .secret_scan import RULES, scan_versions, spans_string
+from .substring_dedup import substring_dedup
 
 #: Times that mixing uses a document at most.
 REPEATS = 2.0
@@ -37,6 +39,21 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(docs, size=4, num=85, den=100)
 
 
+def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+_OP4_SQL = """
+    WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+    r AS (SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.c = l.a),
+    c AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
+    k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+    SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM v JOIN c ON c.a = vec_id LEFT JOIN k ON k.a = vec_id"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs)
@@ -82,6 +99,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs, repeats=REPEATS).drop("text")
@@ -91,14 +112,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_quality": op2_quality,
     "op3_ngram_join": op3_ngram_join,
+    "op4_embedding_join": op4_embedding_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_html_extraction": op10_html_extraction,
 }
 
 #: DuckDB SQL for those queries that SQL can express at this size.
 ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_join": _OP4_SQL,
     "op7_secret_scan": _op7_sql(),
 }
