@@ -146,8 +146,9 @@ def _segments(scan: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return scan[keep], place[np.minimum(starts, len(scan))], np.searchsorted(starts, offsets[:-1])
 
 
-def _lockstep(data: np.ndarray, bits: np.ndarray, blocks: np.ndarray, units: tuple) -> np.ndarray:
-    """DC coefficients by segment and block. ``bits``: first bit of each segment; ``blocks``: its number of blocks."""
+def _lockstep(data: np.ndarray, bits: np.ndarray, ends: np.ndarray, blocks: np.ndarray, units: tuple) -> np.ndarray:
+    """DC coefficients by segment and block. ``bits``, ``ends``: first bit of each segment and the one after its last;
+    ``blocks``: its number of blocks."""
     n, most = len(bits), int(blocks.max(initial=0))
     padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint32)
     window = padded[:-3] << 24 | padded[1:-2] << 16 | padded[2:-1] << 8 | padded[3:]
@@ -200,6 +201,8 @@ def _lockstep(data: np.ndarray, bits: np.ndarray, blocks: np.ndarray, units: tup
                     done = (code & 255) == 0
                     pending, k, code = pending[~done], k[~done], code[~done]
         pos[:live] = here
+    if (pos > ends[order]).any():
+        raise JpegError("cut short")
     back = np.empty_like(order)
     back[order] = np.arange(n)
     return out[:, back]
@@ -240,7 +243,7 @@ def _decode(images: list[bytes], frames: list[Frame], units: tuple) -> list[np.n
         raise JpegError("segments are missing")
     within = np.arange(len(starts)) - np.repeat(first, counts)
     blocks = np.minimum(np.repeat(each, counts), np.repeat(mcus, counts) - within * np.repeat(each, counts)) * len(units)
-    dc = _lockstep(data, starts * 8, blocks, units)
+    dc = _lockstep(data, starts * 8, np.append(starts[1:], len(data)) * 8, blocks, units)
     own = [j for j, u in enumerate(units) if u[0] == 0]
     result = []
     for f, at, n, mcu in zip(frames, first, counts, mcus, strict=True):
