@@ -32,8 +32,9 @@ def is_mark(ch: Column) -> Column:
 
 
 def is_numeric(ch: Column) -> Column:
-    """General category N."""
-    return ch.rlike(r"^\p{N}")
+    """General category N. ASCII is decided without the expression engine."""
+    cp = codepoint(ch)
+    return cp.between(0x30, 0x39) | ((cp >= 0xB2) & ch.rlike(r"^\p{N}"))
 
 
 def is_arabic(ch: Column) -> Column:
@@ -44,6 +45,12 @@ def is_arabic(ch: Column) -> Column:
     return out
 
 
+def has_arabic(text: Column) -> Column:
+    """Whether a text holds an Arabic character."""
+    ranges = "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in (*ARABIC_BLOCKS, *ARABIC_ELSEWHERE))
+    return text.rlike(f"[{ranges}]")
+
+
 def is_arabic_letter(ch: Column) -> Column:
     return is_arabic(ch) & ch.rlike(r"^[\p{Lo}\p{Lm}]")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.unicode import SPACE, chars, is_arabic
+from ..functions.unicode import SPACE, has_arabic
 
 KEYS = ("doc_id", "paragraph", "segment")
 
@@ -34,7 +34,7 @@ def paragraphs(docs: DataFrame, text: Column | None = None, key: str = "doc_id")
 
 def mark_starts(segments: DataFrame) -> DataFrame:
     """Adds ``surah_start``: whether the segment is its document's first one with an Arabic character."""
-    arabic = F.exists(chars(F.col("text")), is_arabic)
+    arabic = has_arabic(F.col("text"))
     place = F.struct(*KEYS[1:])
     flagged = segments.withColumn("__arabic", arabic)
     first = flagged.where("__arabic").groupBy("doc_id").agg(F.min(place).alias("__first"))
@@ -68,7 +68,7 @@ def segments_of_runs(runs: DataFrame) -> DataFrame:
     lengths = F.transform("pieces", lambda p: F.struct(p["run"].alias("run"), F.length(p["text"]).alias("length")))
     number = F.row_number().over(Window.partitionBy("doc_id", "part", "paragraph").orderBy("__cut")) - 1
     out = rows.select("doc_id", "part", "paragraph", number.alias("segment"), joined.alias("text"), lengths.alias("runs"))
-    main = (F.col("part") == "word/document.xml") & F.exists(chars(F.col("text")), is_arabic)
+    main = (F.col("part") == "word/document.xml") & has_arabic(F.col("text"))
     first = out.where(main).groupBy("doc_id").agg(F.min(F.struct("paragraph", "segment")).alias("__first"))
     marked = out.join(first, "doc_id", "left")
     start = F.coalesce((F.col("part") == "word/document.xml") & (F.struct("paragraph", "segment") == F.col("__first")), F.lit(False))
