@@ -43,6 +43,26 @@ def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+_OP3_SQL = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS gram FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    r AS (SELECT doc_id AS a, doc_id AS c FROM w UNION SELECT r.a, l.b FROM r JOIN l ON r.c = l.a)
+    SELECT w.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id FROM w JOIN r ON r.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id"""
+
+_OP5_SQL = r"""
+    WITH a AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+    l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM a),
+    f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM l WHERE regexp_matches(line, '\S')),
+    w AS (SELECT doc_id, k, t, lead(t) OVER (PARTITION BY doc_id ORDER BY k) AS u FROM f),
+    o AS (SELECT *, row_number() OVER (PARTITION BY t, u ORDER BY doc_id, k) AS nth FROM w WHERE u IS NOT NULL),
+    g AS (SELECT doc_id, k FROM o WHERE nth > 1 UNION SELECT doc_id, k + 1 FROM o WHERE nth > 1),
+    m AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.k IS NULL) AS text, count(f.k) AS n_lines, count(g.k) AS n_removed
+          FROM l LEFT JOIN f ON f.doc_id = l.doc_id AND f.i = l.i LEFT JOIN g ON g.doc_id = f.doc_id AND g.k = f.k GROUP BY l.doc_id)
+    SELECT a.doc_id, CASE WHEN n_removed > 0 THEN coalesce(m.text, '') ELSE a.text END AS text, n_lines, n_removed FROM a JOIN m ON m.doc_id = a.doc_id"""
+
 _OP4_SQL = """
     WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
     u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v),
@@ -123,6 +143,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for those queries that SQL can express at this size.
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_join": _OP3_SQL,
     "op4_embedding_join": _OP4_SQL,
+    "op5_line_dedup": _OP5_SQL,
     "op7_secret_scan": _op7_sql(),
 }

@@ -15,7 +15,7 @@ def test_names():
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
-@pytest.mark.parametrize("name", ["op3_ngram_join", "op4_embedding_join", "op7_secret_scan"])
+@pytest.mark.parametrize("name", ["op3_ngram_join", "op4_embedding_join", "op5_line_dedup", "op7_secret_scan"])
 def test_sql_agrees(spark, name):
     sql = __spark_entry__.oracle_sql().get(name)
     if sql is None:
