@@ -6,7 +6,7 @@ so they are taken in two steps that lose no component:
 1. Each item is compared with the least item of its key and size class. Copies with small changes mostly meet in
    this step, at a cost that is linear in the items. Links found make components.
 2. Keys whose items still lie in different components are met again. Only pairs across components are compared, in
-   blocks of bounded size, and of these only such as sizes and positions allow.
+   blocks of bounded size, and of these only such as sizes, places and counts of shared keys allow.
 
 A pair within one component needs no comparison: whatever it gives, components stay.
 """
@@ -26,6 +26,8 @@ from .shingles import shingle_sets
 
 #: Items of a key that are met at once in step 2, and items compared with one other in a task's run.
 BLOCK = 256
+#: Ids that are sent to all tasks at most, 16 MB as a hash table.
+SHORT_LIST = 500_000
 
 
 def least_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -33,31 +35,6 @@ def least_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarra
     return -(-num * (a + b) // (num + den))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows with equal keys, which come together, as one table each; several small ones may be cut out of a batch."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        if held:
-            change[0] = any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns, strict=True))
-        cuts = np.flatnonzero(change)
-        at = 0
-        for cut in cuts:
-            if cut > at:
-                held.append(batch.slice(at, cut - at))
-            if held:
-                yield pa.Table.from_batches(held)
-            held, at = [], int(cut)
-        held.append(batch.slice(at))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def verify(scratch: Scratch, pairs: DataFrame, items: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts in ``items`` (id, text) have den * shared >= num * union; ids are longs.
 
@@ -97,64 +74,120 @@ def verify(scratch: Scratch, pairs: DataFrame, items: DataFrame, size: int, num:
     return met.repartition("b", "run").sortWithinPartitions("b", "run", "role").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _across(num: int, den: int, positional: bool) -> Callable:
+def _across(num: int, den: int, prefix: bool) -> Callable:
+    """Pairs across components, from rows that come in runs of (key, lo, hi).
+
+    With ``prefix``, a key that stands at some place in an item's order leaves no more than what stands behind it to
+    be shared after it. A pair whose first shared key leaves too little cannot link, and is dropped at each such key.
+    """
+    names = ("key", "lo", "hi", "id", "component", "size", "pos", "side")
+
+    def pairs(c: dict[str, np.ndarray], cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Row numbers of all pairs of each run that its block is to compare."""
+        lengths = np.diff(cuts)
+        two = cuts[:-1][lengths == 2]
+        yield two, two + 1
+        for at, n in zip(cuts[:-1][lengths > 2].tolist(), lengths[lengths > 2].tolist(), strict=True):
+            if c["lo"][at] == c["hi"][at]:
+                i, j = np.triu_indices(n, 1)
+            else:
+                left = c["side"][at : at + n] == c["lo"][at]
+                i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(left), np.flatnonzero(~left), indexing="ij"))
+            yield i + at, j + at
+
+    def count(c: dict[str, np.ndarray], cuts: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for i, j in pairs(c, cuts):
+            n, m = c["size"][i].astype(np.int64), c["size"][j].astype(np.int64)
+            whole = (c["lo"][i] == c["hi"][i]) | (c["side"][i] != c["side"][j])
+            left = np.minimum(n - c["pos"][i], m - c["pos"][j]) if prefix else np.minimum(n, m)
+            keep = (c["component"][i] != c["component"][j]) & (left >= least_overlap(n, m, num, den)) & whole
+            i, j = i[keep], j[keep]
+            swap = c["id"][i] < c["id"][j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            if len(i):
+                out.append(np.column_stack([c["id"][i], c["id"][j], c["size"][i], c["size"][j]]))
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         rows = 0
 
         def flush() -> pa.RecordBatch:
-            both = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-        for table in _runs(batches, ["key", "lo", "hi"]):
-            if table.num_rows < 2:
-                continue
-            ids, comp, n, pos, side = (table.column(c).to_numpy() for c in ("id", "component", "size", "pos", "side"))
-            lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
-            left, right = (np.flatnonzero(side == lo), np.flatnonzero(side == hi)) if lo != hi else (np.arange(len(ids)),) * 2
-            if not len(left) or not len(right):
-                continue
-            a, b = left[:, None], right[None, :]
-            need = least_overlap(n[a], n[b], num, den)
-            room = 1 + np.minimum(n[a] - pos[a] - 1, n[b] - pos[b] - 1) if positional else np.minimum(n[a], n[b])
-            i, j = np.nonzero((comp[a] != comp[b]) & (room >= need) & (np.minimum(n[a], n[b]) >= need))
-            if not len(i):
-                continue
-            x, y = ids[left[i]], ids[right[j]]
-            held.append(np.unique(np.column_stack([np.maximum(x, y), np.minimum(x, y)]), axis=0))
-            rows += len(held[-1])
-            if rows > 1 << 18:
-                yield flush()
-                held, rows = [], 0
+            both = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 4), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in range(4)], names=["a", "b", "n", "m"])
+
+        rest: dict[str, np.ndarray] | None = None
+        for batch in (*batches, None):
+            if batch is not None:
+                c = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
+                if rest is not None:
+                    c = {k: np.concatenate([rest[k], c[k]]) for k in names}
+            elif rest is not None:
+                c = rest
+            else:
+                break
+            total = len(c["key"])
+            change = np.flatnonzero((c["key"][1:] != c["key"][:-1]) | (c["lo"][1:] != c["lo"][:-1]) | (c["hi"][1:] != c["hi"][:-1])) + 1
+            cuts = np.concatenate([[0], change, [total]])
+            if batch is not None:  # the last run may go on
+                rest = {k: v[cuts[-2] :] for k, v in c.items()}
+                cuts = cuts[:-1]
+            for x in count(c, cuts):
+                held.append(x)
+                rows += len(x)
+                if rows > 1 << 19:
+                    yield flush()
+                    held, rows = [], 0
         yield flush()
 
     return run
 
 
-def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size: int, num: int, den: int, positional: bool, same: DataFrame | None = None, tied: DataFrame | None = None) -> DataFrame:
+def _texts(items: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of these ids, each once. A list of ids that is short is sent to all tasks, so that texts stay where
+    they are; a long one is met by a hash join that sorts no text."""
+    short = ids.count() <= SHORT_LIST
+    met = items.join(F.broadcast(ids) if short else ids.hint("shuffle_hash"), "id", "left_semi")
+    return met.withColumn("digest", F.xxhash64("text")).dropDuplicates(["id", "digest"]).select("id", "text")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+
+def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size: int, num: int, den: int, prefix: bool, same: DataFrame | None = None, tied: DataFrame | None = None) -> DataFrame:
     """(id, component) of the items that link with another one.
 
     ``buckets``: a stored table (key, id, size, pos) of longs and ints, where ``size`` counts the item's shingles and
-    ``pos`` is the key's place in the item's order of shingles if ``positional``. ``items``: (id, text). ``size``,
-    ``num``, ``den``: words of a shingle, and the least similarity num / den. ``same``: (id, first) of items that
-    equal another item, which alone is then met. ``tied``: further links (a, b) that need no comparison.
+    ``pos`` is the key's place among the item's keys (0 without ``prefix``). ``items``: (id, text). ``size``, ``num``, ``den``: words of a shingle, and the least similarity num / den. ``prefix``: keys
+    are the first shingles, in one order, of each item: all but ceil(num * size / den) - 1; the keys that two items
+    share then bound their overlap. ``same``: (id, first) of items that equal another item, which alone is then met.
+    ``tied``: further links (a, b) that need no comparison.
     """
-    keys = scratch.save(buckets.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"), "keys")
+    keys = scratch.save(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
     shared = buckets.join(keys, "key")
     if same is not None:
         shared = scratch.save(shared, "met")
         renamed = same.select(F.col("id").alias("__i"), F.col("first").alias("__f"))
         shared = shared.join(renamed, shared["id"] == renamed["__i"], "left").select("key", F.coalesce("__f", "id").alias("id"), "size", "pos")
-    shared = shared.distinct()
     # sizes of one class differ by less than the similarity allows
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(den / num)) + F.lit(1e-9)).cast("int")
-    shared = scratch.save(shared.withColumn("band", band), "shared")
-    hubs = scratch.save(shared.groupBy("key", "band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").select("key", "band", "hub"), "hubs")
-    first = scratch.save(shared.join(hubs, ["key", "band"]).where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "first")
-    ids = shared.select("id").distinct()
-    texts = items.join(ids.hint("shuffle_hash"), "id").withColumn("digest", F.xxhash64("text"))
-    texts = scratch.save(texts.dropDuplicates(["id", "digest"]).select("id", "text"), "texts")
-    found = verify(scratch, first, texts, size, num, den)
+    shared = scratch.save(shared.distinct().withColumn("band", band), "shared")
+
+    def enough(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose shared keys, with all that stands behind the keys of one of them, may suffice."""
+        if not prefix:
+            return pairs.select("a", "b")
+        behind = lambda n: F.ceil(F.col(n) * num / den) - 1
+        need = F.ceil((F.col("n") + F.col("m")) * num / (num + den))
+        return pairs.where(F.col("shared") >= need - F.greatest(behind("n"), behind("m"))).select("a", "b")
+
+    hubs = shared.groupBy("key", "band").agg(F.min(F.struct("id", "size")).alias("hub"), F.max("id").alias("last")).where("hub.id <> last")
+    hubs = scratch.save(hubs.select("key", "band", F.col("hub.id").alias("hub"), F.col("hub.size").alias("m")), "hubs")
+    met = shared.join(hubs, ["key", "band"]).where("id <> hub")
+    first = scratch.save(enough(met.groupBy(F.col("id").alias("a"), F.col("hub").alias("b"), F.col("size").alias("n"), "m").agg(F.count("*").alias("shared"))).distinct(), "first")
+    found = verify(scratch, first, scratch.save(_texts(items, _ends(first)), "texts"), size, num, den)
     links = scratch.save(found if tied is None else found.union(tied), "links")
     comps = scratch.save(components(scratch, links), "components")
 
@@ -163,11 +196,17 @@ def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size
     split = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).where("x <> y")
     split = scratch.save(split.select("key", "n"), "split")
     side = F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
-    met = labelled.join(split, "key").withColumn("side", side).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    met = met.select("key", F.least("side", "x").alias("lo"), F.greatest("side", "x").alias("hi"), "side", "id", "size", "pos", "component")
-    across = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_across(num, den, positional), "a bigint, b bigint")
-    second = scratch.save(across.distinct().join(first, ["a", "b"], "left_anti"), "second")
-    more = scratch.save(verify(scratch, second, texts, size, num, den), "links")
+    dealt = labelled.join(split, "key").withColumn("side", side).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.select("key", F.least("side", "x").alias("lo"), F.greatest("side", "x").alias("hi"), "side", "id", "size", "pos", "component")
+    met = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_across(num, den, prefix), "a bigint, b bigint, n bigint, m bigint")
+    pairs = scratch.save(met.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    if prefix:  # count what they share among the keys
+        lists = scratch.save(shared.join(_ends(pairs), "id", "left_semi").groupBy("id").agg(F.collect_set("key").alias("keys")), "lists")
+        side_of = lambda end: lists.select(F.col("id").alias(end), F.col("keys").alias(f"keys_{end}"))
+        both = pairs.join(side_of("a"), "a").join(side_of("b"), "b")
+        pairs = enough(both.withColumn("shared", F.size(F.array_intersect("keys_a", "keys_b"))))
+    second = scratch.save(pairs.select("a", "b").distinct(), "second")
+    more = scratch.save(verify(scratch, second, scratch.save(_texts(items, _ends(second)), "texts"), size, num, den), "links")
     if more.isEmpty():
         return comps
     return scratch.save(components(scratch, links.union(more)), "components")

@@ -3,8 +3,8 @@
 Rows are documents, columns their distinct word n-grams. All columns stand in one order, rare ones first. Two
 documents that link share so many n-grams that one of them lies among the first of both: a set of n needs only its
 first n - ceil(n * similarity) + 1 columns in the product. Blocks of these columns give the pairs with any overlap
-there; sizes and the place of the shared column bound the whole overlap, and pairs below are dropped. For the rest
-the overlap is counted over all columns.
+there; what they share in these columns, and what stands behind, bound the whole overlap, and pairs below are
+dropped. For the rest the overlap is counted over all columns.
 
 The order needs no exact counts: n-grams that are frequent in a block of texts are counted, and the 65,536 most
 frequent of all stand last. Any order gives the same links.
@@ -25,8 +25,8 @@ from .shingles import fingerprint, shingle_sets
 
 #: Frequent n-grams that are known to all tasks: 16 bytes each, 1 MB at most.
 FREQUENT = 1 << 16
-#: Documents of a block of texts in which an n-gram counts as frequent there.
-OFTEN = 4
+#: Bytes of a block of texts, and documents of it in which an n-gram counts as frequent there.
+BLOCK_BYTES, OFTEN = 4 << 20, 4
 
 
 def prefix_order(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -53,7 +53,7 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "f1", "f2", "gram", "times"]
         for batch in batches:
-            for at, end, data, offsets in text_batches(batch.column("text")):
+            for at, end, data, offsets in text_batches(batch.column("text"), BLOCK_BYTES):
                 sets = shingle_sets(data, offsets, size)
                 prints = [fingerprint(s) for s in sets]
                 n = len(sets)
