@@ -63,7 +63,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, fps, digests, texts, starts = [], [], [], [], []
-            for row, content in enumerate(batch.column("t").to_pylist()):
+            for row, scalar in enumerate(batch.column("t")):
+                content = scalar.as_py()
                 if not content or content.count("\n") + 1 < window:
                     continue
                 lines, full = lines_of(content)
@@ -96,8 +97,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_hash(t) if t else 0 for t in texts], pa.int64())], names=[*names, "__digest"])
+            digest = [_hash(t.as_py()) if t.is_valid and t.as_py() else 0 for t in batch.column(text)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest, pa.int64())], names=[*names, "__digest"])
 
     marked = docs.mapInArrow(digests, digest_schema)
     joined = marked.join(gone.hint("shuffle_hash"), marked[key].eqNullSafe(gone["__k"]) & (marked["__digest"] == gone["__h"]), "left").select(*(marked[n] for n in names), "__starts")
@@ -107,7 +108,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
         at = names.index(text)
         for batch in batches:
             texts, counts, removed = [], [], []
-            for content, starts in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            for content, starts in zip((x.as_py() for x in batch.column(at)), batch.column(len(names)).to_pylist(), strict=True):
                 lines, full = lines_of(content or "")
                 counts.append(len(full))
                 away = {full[i] for s in starts or () for i in range(s, s + window)}

@@ -82,9 +82,9 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, found = [], []
-            for i, content in enumerate(batch.column("t").to_pylist()):
-                if content:
-                    here = paragraphs_of(content, least_words)
+            for i, content in enumerate(batch.column("t")):
+                if content.is_valid:
+                    here = paragraphs_of(content.as_py(), least_words)
                     at += [i] * len(here)
                     found += [(n, a, b, len(c.split()), xxhash.xxh3_64_intdigest(c.encode()) >> 1) for n, a, b, c in here]
             columns = [pa.array([f[j] for f in found], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
@@ -94,24 +94,30 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[int, str] = {}
-            for content in batch.column("t").to_pylist():
-                for _, _, _, c in paragraphs_of(content or "", least_words):
-                    seen[xxhash.xxh3_64_intdigest(c.encode()) >> 1] = c
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.string())], names=["id", "text"])
+            for at, end, _, _ in text_batches(batch.column("t")):
+                seen: dict[int, str] = {}
+                for content in batch.column("t").slice(at, end - at).to_pylist():
+                    for _, _, _, c in paragraphs_of(content or "", least_words):
+                        seen[xxhash.xxh3_64_intdigest(c.encode()) >> 1] = c
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.string())], names=["id", "text"])
 
     items = own.select("t").mapInArrow(texts, "id bigint, text string")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end, data, offsets in text_batches(batch.column("text"), 1 << 20):
-                sets = shingle_sets(data, offsets, size)
-                ids = batch.column("id").slice(at, end - at).to_numpy()
-                keys = band_keys(sets, bands, rows).view(np.int64)
-                sizes = np.array([len(s) for s in sets], np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, bands)), pa.array(np.repeat(sizes, bands)), pa.array(np.zeros(keys.size, np.int32))], names=["key", "id", "size", "pos"])
-
-    buckets = scratch.save(items.mapInArrow(sign, "key bigint, id bigint, size int, pos int"), "buckets")
+            for at, end, _, _ in text_batches(batch.column("t")):
+                seen: dict[int, str] = {}
+                for content in batch.column("t").slice(at, end - at).to_pylist():
+                    for _, _, _, c in paragraphs_of(content or "", least_words):
+                        seen[xxhash.xxh3_64_intdigest(c.encode()) >> 1] = c
+                for i, j, data, offsets in text_batches(pa.array(list(seen.values()), pa.string())):
+                    sets = shingle_sets(data, offsets, size)
+                    keys = band_keys(sets, bands, rows).view(np.int64)
+                    ids = np.array(list(seen)[i:j], np.int64)
+                    sizes = np.array([len(s) for s in sets], np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, bands)), pa.array(np.repeat(sizes, bands)), pa.array(np.zeros(keys.size, np.int32))], names=["key", "id", "size", "pos"])
+
+    buckets = scratch.save(own.select("t").mapInArrow(sign, "key bigint, id bigint, size int, pos int"), "buckets")
     comps = link_components(scratch, buckets, items, size, num, den, False)
     counts = places.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
     comps = scratch.save(comps.union(counts.join(comps, "id", "left_anti").select("id", F.col("id").alias("component"))), "all")
