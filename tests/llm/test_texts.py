@@ -193,3 +193,11 @@ def test_fast_encoder_agrees_with_the_tokenizer_file():
     texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(30))) for _ in range(3000)] + ["".join(chr(c) for c in range(a, a + 64) if not 0xD800 <= c < 0xE000) for a in range(0, 0x20000, 64)]
     for t in texts:
         assert fast(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_a_very_long_run_of_white_space_is_encoded():
+    from tokenizers import Tokenizer
+
+    tokenizer, fast = Tokenizer.from_file(tokenizer_path()), encoder(tokenizer_path())
+    for t in (" " * 2_000_000, "a" + "\n" * 2_000_000 + "b <|endoftext|> c"):
+        assert fast(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
