@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from . import jpeg
 from .common import CHUNK_BYTES, text_batches
 
-#: Payload that one carrier image holds; a longer one goes to several images, one after the other.
-PART_BYTES = 32 << 20
+#: Payload that one carrier image holds (``jpeg.shape`` takes just under 32 MiB); a longer one goes to several images, one after the other.
+PART_BYTES = 16 << 20
 
 
 def _schema(own: DataFrame, more: str) -> tuple[list[str], str]:
@@ -39,7 +39,8 @@ def encode_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                     padded[: b - a] = data[a:b]
                     payloads += [padded[i : i + PART_BYTES] for i in range(0, len(padded), PART_BYTES)]
                     cuts.append(len(payloads))
-                images = jpeg.carry(payloads)
+                # the parts of a long text one at a time, as all at once take 60 times its bytes
+                images = jpeg.carry(payloads) if len(payloads) == end - at else [jpeg.carry([p])[0] for p in payloads]
                 media = [images[a] if b - a == 1 else b"".join(images[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n).slice(at, end - at) for n in names), pa.array(np.diff(offsets)), pa.array(media, pa.binary())], names=[*names, "n_bytes", "media"])
 
@@ -76,7 +77,8 @@ def media_features(media: DataFrame, keep: tuple[str, ...] = ("doc_id",), column
 
     def features(files: list[bytes]) -> list[dict]:
         parts = [split_images(f) for f in files]
-        flat = iter(jpeg.thumbnails([p for f in parts for p in f]))
+        flat = [p for f in parts for p in f]
+        flat = iter(jpeg.thumbnails(flat)) if sum(map(len, flat)) < PART_BYTES else (jpeg.thumbnails([p])[0] for p in flat)
         rows = []
         for file, images in zip(files, parts, strict=True):
             row = dict.fromkeys(added.names) | {"media_bytes": len(file), "media_sha256": jpeg.digest(file)}

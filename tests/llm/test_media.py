@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 
 from glyphweave.llm import jpeg
-from glyphweave.llm.media import encode_texts, media_features
+from glyphweave.llm.media import PART_BYTES, encode_texts, media_features
 
 
 def payload(text):
@@ -33,6 +33,15 @@ def test_random_payloads():
         assert jpeg.carried(frame, thumb) == p.tobytes()
 
 
+def test_a_text_longer_than_one_image(spark):
+    texts = {1: "abcdefgh" * (PART_BYTES // 8) + "é tail", 2: "é" * (17 << 20), 3: "x" * PART_BYTES}
+    made = encode_texts(spark.createDataFrame([*texts.items()], "doc_id bigint, text string").repartition(3))
+    rows = {r.doc_id: r for r in media_features(made, keep=("doc_id", "n_bytes")).collect()}
+    for i, t in texts.items():
+        assert (rows[i].n_bytes, rows[i].payload_bytes, rows[i].payload_sha256) == (len(t.encode()), len(payload(t)), hashlib.sha256(payload(t)).hexdigest())
+        assert rows[i].error is None and rows[i].feature.count(";") == (len(payload(t)) - 1) // PART_BYTES
+
+
 def general_jpeg(width, height, blocks, sampling=(2, 1), quantiser=16):
     """A colour JPEG with AC terms and no restart markers, written bit by bit. ``blocks``: DC of Y blocks by MCU."""
     codes = {0: "00", 1: "010", 2: "011", 3: "100", 4: "101", 5: "1100", 6: "1101", 7: "1110", 8: "11110", 9: "111110"}
