@@ -4,7 +4,8 @@ The standard library's parser streams events. Block tags cut the page into lines
 number of tags met in it and the containers around it. The ratio of characters to tags of each line is smoothed
 with a Gaussian kernel and split into content and rest by two-means clustering. The container with most content
 text is the article; its lines are the result, except those in menus, adverts, notices, forms, comments and the
-like. Pages without a container that says what it is (article, main) give the content lines of the body.
+like. Pages without a container that says what it is (article, main) give all other lines of the body; the clusters
+only find where content begins and ends, and lines outside of that which are mostly links go.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ BLOCK = frozenset(
 #: Elements whose text is never content.
 SKIP = frozenset("script style head title noscript template nav footer aside form iframe svg button select textarea object canvas audio video menu dialog math datalist".split())
 MAIN = frozenset(["article", "main"])
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCK - {"html", "body"}
 _AWAY_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form status toolbar".split())
@@ -40,22 +42,25 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Lines(HTMLParser):
-    """Parser events to lines (text, tags, main, dropped); ``main`` is the nearest article or main element, 0 if none."""
+    """Parser events to lines (text, tags, main, dropped, links); ``main`` is the nearest article or main element, 0 if none.
+
+    ``links``: whether most of the text lies in links.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.stack: list[tuple[str, int, bool]] = []  # tag, nearest main, whether its text is dropped
+        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.stack: list[tuple[str, int, bool, bool | None]] = []  # tag, nearest main, whether its text is dropped, whether in a link (null in headings)
         self.parts: list[str] = []
-        self.tags = self.mains = 0
+        self.tags = self.mains = self.linked = 0
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, main, away = self.stack[-1] if self.stack else ("", 0, False)
-            self.lines.append((text, self.tags, main, away))
+            _, main, away, _ = self.stack[-1] if self.stack else ("", 0, False, False)
+            self.lines.append((text, self.tags, main, away, 2 * self.linked > len(text) - text.count(" ")))
         self.parts.clear()
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def _pop_to(self, at: int) -> None:
         self._flush()
@@ -76,14 +81,16 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        _, main, away = self.stack[-1] if self.stack else ("", 0, False)
+        _, main, away, link = self.stack[-1] if self.stack else ("", 0, False, False)
         own = self._away(tag, dict(attrs), main)
         if own and not away:
             self._flush()
         if (tag in MAIN or ("role", "main") in attrs) and not (own or away):
             self.mains += 1
             main = self.mains
-        self.stack.append((tag, main, away or own))
+        # headings are text, linked or not
+        link = None if link is None or tag in HEADING else link or tag == "a" and any(k == "href" for k, _ in attrs)
+        self.stack.append((tag, main, away or own, link))
 
     @staticmethod
     def _away(tag: str, attrs: dict[str, str | None], main: int) -> bool:
@@ -114,6 +121,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
+        if self.stack and self.stack[-1][3]:
+            self.linked += sum(map(len, data.split()))
 
     def close(self) -> None:
         super().close()
@@ -157,21 +166,24 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratio = smooth([len(text) / max(1, tags) for text, tags, _, _ in lines], sigma)
+    ratio = smooth([len(text) / max(1, tags) for text, tags, _, _, _ in lines], sigma)
     cut = threshold(ratio)
-    content = [r >= cut and not away for r, (_, _, _, away) in zip(ratio, lines, strict=True)]
+    content = [r >= cut and not away for r, (_, _, _, away, _) in zip(ratio, lines, strict=True)]
     mass: dict[int, tuple[int, int]] = {}
-    for chosen, (text, _, main, away) in zip(content, lines, strict=True):
+    for chosen, (text, _, main, away, _) in zip(content, lines, strict=True):
         if main and not away:
             a, b = mass.get(main, (0, 0))
             mass[main] = (a + len(text) * chosen, b + len(text))
     if mass:
         best = max(mass, key=lambda m: (mass[m], -m))
-        kept = [text for text, _, main, away in lines if main == best and not away]
+        kept = [text for text, _, main, away, _ in lines if main == best and not away]
     else:
-        kept = [text for chosen, (text, _, _, _) in zip(content, lines, strict=True) if chosen]
-        if not kept:
-            kept = [text for text, _, _, away in lines if not away]
+        # logarithms, so that one very long line does not make all others look like the rest
+        ratio = smooth([math.log(len(text) / max(1, tags)) for text, tags, _, _, _ in lines], sigma)
+        cut = threshold(ratio)
+        found = [i for i, (r, (_, _, _, away, links)) in enumerate(zip(ratio, lines, strict=True)) if r >= cut and not (away or links)]
+        first, last = (found[0], found[-1]) if found else (0, len(lines))
+        kept = [text for i, (text, _, _, away, links) in enumerate(lines) if not away and (first <= i <= last or not links)]
     return "\n".join(kept)
 
 

@@ -201,3 +201,16 @@ def test_a_very_long_run_of_white_space_is_encoded():
     tokenizer, fast = Tokenizer.from_file(tokenizer_path()), encoder(tokenizer_path())
     for t in (" " * 2_000_000, "a" + "\n" * 2_000_000 + "b <|endoftext|> c"):
         assert fast(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_pages_without_containers_keep_all_text():
+    menu = "<div><a href=/>Home</a></div><div><a href=/a>About us</a></div>"
+    for sizes in ([300] * 16 + [6000], [6000] + [300] * 16, [40, 300, 6000, 300, 20, 80], [50] * 9, [20_000, 10]):
+        parts = ["A heading", *(f"{i} " + "word " * (n // 5) + "end." for i, n in enumerate(sizes))]
+        body = f"<h1>{parts[0]}</h1>" + "".join(f"<p>{p}</p>" for p in parts[1:])
+        for page in (body, f"<div>{body}</div>", menu + body + menu, f"{menu}<div>{body}</div><div class=footer>end</div>"):
+            assert main_text(f"<html><body>{page}</body></html>") == "\n".join(parts)
+    listed = "<p>" + "word " * 60 + "</p><ul><li><a href=x>One link</a></li></ul><p>" + "word " * 60 + "</p>"
+    assert "One link" in main_text(listed)
+    assert main_text(menu + "<h2><a href=x>Linked title</a></h2>" + listed).startswith("Linked title")
+    assert main_text("<a href=x>only</a>") == "only"
