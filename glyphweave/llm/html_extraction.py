@@ -3,8 +3,8 @@
 The standard library's parser streams events. Block tags cut the page into lines; each line has its text, the
 number of tags met in it and the containers around it. The ratio of characters to tags of each line is smoothed
 with a Gaussian kernel and split into content and rest by two-means clustering. The container with most content
-text is the article; its lines are the result, except those in menus, adverts, notices, forms, comments and the
-like. Pages without a container that says what it is (article, main) give all other lines of the body; the clusters
+text is the article; its lines, those of a main element around it and of articles beside it are the result, except
+those in menus, adverts, notices, forms, comments and the like. Pages without a container that says what it is (article, main) give all other lines of the body; the clusters
 only find where content begins and ends, and lines outside of that which are mostly links go.
 """
 
@@ -35,29 +35,35 @@ _AWAY_ROLES = frozenset("navigation banner contentinfo complementary search dial
 _AWAY_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|side-?bar\w*|footer\w*|site-?header|page-?header|masthead|cookies?|consent|notices?|gdpr|"
     r"pop-?up\w*|modal\w*|overlay|newsletter|subscribe\w*|subscription|signup|login|share\w*|social\w*|related\w*|recommend\w*|breadcrumbs?|pagination|pager|toolbar|widget\w*|"
-    r"comments?|comment-?(?:list|section|thread|area)|disqus|respond|replies|discussion|skip-?link|hidden|sr-only|visually-?hidden|copyright|disclaimer)(?:$|[\s_-])",
+    r"comments?|comment-?(?:list|section|thread|area)|disqus|respond|replies|discussion|skip-?link|sr-only|visually-?hidden|copyright|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+#: Names that say how an element is laid out (has-sidebar, no-footer), not what it is; ``hidden`` counts as a whole name only.
+_STATE_NAME = re.compile(r"(?:has|have|with|no|not|without|is)[_-]", re.I)
+_TALK_NAME = re.compile(r"comment|disqus|respond|replies|discussion", re.I)
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Lines(HTMLParser):
     """Parser events to lines (text, tags, main, dropped, links); ``main`` is the nearest article or main element, 0 if none.
 
-    ``links``: whether most of the text lies in links.
+    ``dropped``: the innermost element whose text is dropped only if it is not around the article, 0 if none, -1 where text
+    is dropped in any case. ``links``: whether most of the text lies in links. ``boxes``, by main: whether it is a main
+    element, the main around it, the element it stands in, and what it is dropped by.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.stack: list[tuple[str, int, bool, bool | None]] = []  # tag, nearest main, whether its text is dropped, whether in a link (null in headings)
+        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.stack: list[tuple[str, int, int, bool | None, int]] = []  # tag, nearest main, dropped, whether in a link (null in headings), number
+        self.boxes: dict[int, tuple[bool, int, int, int]] = {}
         self.parts: list[str] = []
-        self.tags = self.mains = self.linked = 0
+        self.tags = self.elements = self.linked = 0
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, main, away, _ = self.stack[-1] if self.stack else ("", 0, False, False)
+            _, main, away, _, _ = self.stack[-1] if self.stack else ("", 0, 0, False, 0)
             self.lines.append((text, self.tags, main, away, 2 * self.linked > len(text) - text.count(" ")))
         self.parts.clear()
         self.tags = self.linked = 0
@@ -81,26 +87,32 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        _, main, away, link = self.stack[-1] if self.stack else ("", 0, False, False)
+        _, main, away, link, inside = self.stack[-1] if self.stack else ("", 0, 0, False, 0)
         own = self._away(tag, dict(attrs), main)
-        if own and not away:
+        self.elements += 1
+        if own:
             self._flush()
-        if (tag in MAIN or ("role", "main") in attrs) and not (own or away):
-            self.mains += 1
-            main = self.mains
+            away = -1 if own < 0 or away < 0 else self.elements
+        if (tag in MAIN or ("role", "main") in attrs) and away >= 0:
+            self.boxes[self.elements] = tag == "main" or ("role", "main") in attrs, main, inside, away
+            main = self.elements
         # headings are text, linked or not
         link = None if link is None or tag in HEADING else link or tag == "a" and any(k == "href" for k, _ in attrs)
-        self.stack.append((tag, main, away or own, link))
+        self.stack.append((tag, main, away, link, self.elements))
 
     @staticmethod
-    def _away(tag: str, attrs: dict[str, str | None], main: int) -> bool:
+    def _away(tag: str, attrs: dict[str, str | None], main: int) -> int:
+        """-1: text is dropped in any case, 1: unless it is around the article, 0: not dropped."""
+        if tag == "form":
+            return 1
         if tag in SKIP or tag == "header" and not main or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
+            return -1
         if tag in ("html", "body", "main"):
-            return False
+            return 0
         if (attrs.get("role") or "").lower() in _AWAY_ROLES or _HIDDEN_STYLE.search(attrs.get("style") or ""):
-            return True
-        return any(_AWAY_NAME.search(attrs.get(k) or "") for k in ("class", "id"))
+            return -1
+        names = [n for k in ("class", "id") for n in (attrs.get(k) or "").split() if n.lower() in ("hidden", "is-hidden") or _AWAY_NAME.search(n) and not _STATE_NAME.match(n)]
+        return (-1 if any(_TALK_NAME.search(n) for n in names) else 1) if names else 0
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -156,6 +168,20 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def _article(boxes: dict[int, tuple[bool, int, int, int]], best: int) -> set[int]:
+    """Containers that make up the article: the outermost main element around the best one; without any, the outermost
+    article and the articles that stand in the same element; and all that is within."""
+    chain = [best]
+    while boxes[chain[-1]][1]:
+        chain.append(boxes[chain[-1]][1])
+    tops = [m for m in chain if boxes[m][0]][-1:] or [m for m, x in boxes.items() if x[1:3] == boxes[chain[-1]][1:3]]
+    out = set(tops)
+    for m, x in boxes.items():  # outer ones come first
+        if x[1] in out:
+            out.add(m)
+    return out
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The article of one page, its blocks joined by newlines; empty where there is none."""
     if not html:
@@ -168,15 +194,18 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
         return ""
     ratio = smooth([len(text) / max(1, tags) for text, tags, _, _, _ in lines], sigma)
     cut = threshold(ratio)
-    content = [r >= cut and not away for r, (_, _, _, away, _) in zip(ratio, lines, strict=True)]
     mass: dict[int, tuple[int, int]] = {}
-    for chosen, (text, _, main, away, _) in zip(content, lines, strict=True):
-        if main and not away:
+    for r, (text, _, main, away, _) in zip(ratio, lines, strict=True):
+        if main and away == parser.boxes[main][3]:
             a, b = mass.get(main, (0, 0))
-            mass[main] = (a + len(text) * chosen, b + len(text))
+            mass[main] = (a + len(text) * (r >= cut), b + len(text))
+    # a container within a wrapper that looks like boilerplate is the article where all else has less text
+    if not all(parser.boxes[m][3] for m in mass) or max((b for _, b in mass.values()), default=0) <= sum(len(text) for text, _, _, away, _ in lines if not away):
+        mass = {m: x for m, x in mass.items() if not parser.boxes[m][3]}
     if mass:
         best = max(mass, key=lambda m: (mass[m], -m))
-        kept = [text for text, _, main, away, _ in lines if main == best and not away]
+        whole = _article(parser.boxes, best)
+        kept = [text for text, _, main, away, _ in lines if main in whole and away == parser.boxes[best][3]]
     else:
         # logarithms, so that one very long line does not make all others look like the rest
         ratio = smooth([math.log(len(text) / max(1, tags)) for text, tags, _, _, _ in lines], sigma)

@@ -214,3 +214,20 @@ def test_pages_without_containers_keep_all_text():
     assert "One link" in main_text(listed)
     assert main_text(menu + "<h2><a href=x>Linked title</a></h2>" + listed).startswith("Linked title")
     assert main_text("<a href=x>only</a>") == "only"
+
+
+def test_html_keeps_the_whole_article():
+    para = "<p>" + "word " * 40 + "end.</p>"
+    body = "word " * 40 + "end."
+    assert main_text(f"<main><h1>Head</h1><p>lead</p><article>{para}</article></main>") == f"Head\nlead\n{body}"
+    assert main_text(f"<div role=main><h1>Head</h1><article>{para}</article><article><p>two</article></div>") == f"Head\n{body}\ntwo"
+    assert main_text(f"<div><article>{para}</article><article><p>two</article></div><div><article><p>teaser</article></div>") == f"{body}\ntwo"
+    assert main_text(f"<article><h1>Head</h1><article>{para}</article><article><p>two</article></article>") == f"Head\n{body}\ntwo"
+    for name in ("overflow-hidden", "has-sidebar", "overflow_x_hidden no-footer", "layout-sidebar-left", "elementor-widget"):
+        assert main_text(f"<div class='{name}'><p>aside</p><article>{para}<div class=share>Share</div></article></div>") == body
+        if name[0] in "oh":
+            assert main_text(f"<article><div class='{name}'>{para}</div></article>") == body
+    assert main_text(f"<form>Search<article>{para}<form>Form</form></article></form>") == body
+    for away in ("<div class=hidden>{}</div>", "<div class=site-footer>{}</div>", "<section class=comments><article>{}</article></section>", "<div class=related><article>{}</article></div>"):
+        assert main_text(f"<article>{para}{para}</article>" + away.format("<p>rest")) == f"{body}\n{body}"
+        assert main_text(f"<div>{para}</div>" + away.format("<p>rest")) == body
