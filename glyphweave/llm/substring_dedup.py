@@ -3,10 +3,15 @@
 Paragraphs are lines. Each distinct paragraph has a MinHash signature over its word shingles, cut into bands that
 are tuned for recall. Paragraphs that collide in a band are compared by the exact Jaccard similarity of their
 shingles; those that link make components, and of every component's occurrences all but the first are to be removed.
+
+Besides, any run of 50 words that two texts share is found wherever it stands, within paragraphs or over short lines: the
+least of the hashes of its runs of 25 words is its fingerprint, and runs whose fingerprint occurs in several texts are
+grouped by their own hashes.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +22,11 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, text_batches
 from .linking import link_components
-from .shingles import mix, shingle_sets
+from .shingles import _powers, mix, shingle_sets, words
+
+#: Words of a run that is found wherever it stands, and of those from which its fingerprint is chosen.
+RUN, PRINT = 50, 25
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def tune(similarity: float, recall: float, most: int = 64) -> tuple[int, int]:
@@ -62,15 +71,128 @@ def paragraphs_of(text: str, least_words: int) -> list[tuple[int, int, int, str]
     return out
 
 
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) >> 1
+
+
+def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of n words."""
+    up, down = _powers(1 << max(16, len(hashes).bit_length()))
+    through = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=through[1:])
+    return mix((through[n:] - through[:-n]) * down[: len(hashes) + 1 - n])
+
+
+def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word within it, fingerprint and hash of each run of ``RUN`` words that lies within one text."""
+    hashes, at = words(data, offsets)
+    if len(hashes) < RUN:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    least, reach, width = _rolled(hashes, PRINT), 1, RUN - PRINT + 1
+    while reach < width:
+        step = min(reach, width - reach)
+        least, reach = np.minimum(least[:-step], least[step:]), reach + step
+    start = np.arange(len(hashes) - RUN + 1)
+    text = np.searchsorted(at, start, side="right") - 1
+    good = start + RUN <= at[text + 1]
+    text, start = text[good], start[good]
+    return text, start - at[text], least[good].view(np.int64), _rolled(hashes, RUN)[good].view(np.int64)
+
+
+def _shared_runs(scratch: Scratch, own: DataFrame, paragraphs: DataFrame, key: str) -> DataFrame:
+    """Rows like those of ``paragraphs``, for runs of words that texts of several rows of ``own`` (k, t) share.
+
+    A run stays in the first text by key, if possible one where no removed paragraph touches it. Consecutive runs
+    with the same first text make one row. Rows that a paragraph's row says already are left out.
+    """
+    kind = own.schema[0].dataType.simpleString()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end, data, offsets in text_batches(batch.column("t")):
+                text, _, prints, _ = runs_of(data, offsets)
+                both = np.unique(np.column_stack([text, prints]), axis=0) if len(text) else np.zeros((0, 2), np.int64)
+                digests = np.array([_digest(x or "") for x in batch.column("t").slice(at, end - at).to_pylist()], np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(both[:, 0] + at)), pa.array(digests[both[:, 0]]), pa.array(np.ascontiguousarray(both[:, 1]))], names=["k", "h", "fp"])
+
+    marks = scratch.save(own.mapInArrow(mark, f"k {kind}, h bigint, fp bigint"), "marks")
+    several = lambda *c: (F.min(F.struct(*c)).alias("first"), F.max(F.struct(*c)).alias("last"))
+    repeated = scratch.save(marks.groupBy("fp").agg(*several("k", "h")).where("first <> last").select("fp"), "prints")
+    spans = paragraphs.groupBy(F.col(key).alias("__k")).agg(F.collect_set(F.struct("start", "stop", "removed")).alias("spans"))
+    spans = scratch.save(spans, "spans")
+    wanted = marks.join(repeated, "fp").groupBy(F.col("k").alias("__k"), F.col("h").alias("__h")).agg(F.collect_set("fp").alias("fps"))
+    wanted = scratch.save(wanted, "wanted")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_digest(x.as_py() or "") for x in batch.column("t")], pa.int64())], names=["k", "t", "h"])
+
+    texts = own.mapInArrow(digest, f"k {kind}, t string, h bigint")
+    texts = texts.join(wanted, texts["k"].eqNullSafe(wanted["__k"]) & (texts["h"] == wanted["__h"])).select("k", "h", "t", "fps")
+    texts = texts.join(spans, texts["k"].eqNullSafe(spans["__k"]), "left").select("k", "h", "t", "fps", "spans")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end, data, offsets in text_batches(batch.column("t")):
+                text, start, prints, runs = runs_of(data, offsets)
+                edges = np.searchsorted(text, np.arange(end - at + 1))
+                for i in range(end - at):
+                    here = slice(edges[i], edges[i + 1])
+                    keep = np.isin(prints[here], np.array(batch.column("fps")[at + i].as_py(), np.int64))
+                    first, content = start[here][keep], batch.column("t")[at + i].as_py()
+                    places = np.array([m.span() for m in _WORD.finditer(content)], np.int64).reshape(-1, 2)
+                    a, b = places[first, 0], places[first + RUN - 1, 1]
+                    breaks = np.array([j for j, c in enumerate(content) if c == "\n"], np.int64)
+                    touched = np.zeros(len(a), bool)
+                    for x in batch.column("spans")[at + i].as_py() or ():
+                        touched |= x["removed"] & (a < x["stop"]) & (b > x["start"])
+                    row = pa.array(np.full(len(a), at + i))
+                    columns = [runs[here][keep], touched.astype(np.int32), *(v.astype(np.int32) for v in (first, a, b, np.searchsorted(breaks, a)))]
+                    yield pa.RecordBatch.from_arrays([batch.column("k").take(row), batch.column("h").take(row), *map(pa.array, columns)], names=["k", "h", "run", "touched", "word", "start", "stop", "line"])
+
+    runs = scratch.save(texts.mapInArrow(cut, f"k {kind}, h bigint, run bigint, touched int, word int, start int, stop int, line int").distinct(), "runs")
+    first = runs.groupBy("run").agg(F.min(F.struct("touched", "k", "h")).alias("first"), *several("k", "h")[1:], F.min(F.struct("k", "h")).alias("least"), F.count("*").alias("n"))
+    first = scratch.save(first.where("least <> last").select("run", "n", F.col("first.k").alias("fk"), F.col("first.h").alias("fh")), "firsts")
+    removed = F.struct("k", "h") != F.struct(F.col("fk").alias("k"), F.col("fh").alias("h"))
+    fields = F.struct("word", "start", "stop", "line", "n", "fk", F.xxhash64("fk", "fh").alias("component"), removed.alias("removed"))
+    lists = runs.join(first, "run").groupBy("k", "h").agg(F.collect_list(fields).alias("runs"))
+    lists = lists.join(spans, lists["k"].eqNullSafe(spans["__k"]), "left").select("k", "runs", "spans")
+    names, out_schema = paragraphs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in paragraphs.schema.fields)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(9)]
+            for k, own_runs, said in zip(*(batch.column(c).to_pylist() for c in ("k", "runs", "spans")), strict=True):
+                rows: list[dict] = []
+                for x in sorted(own_runs, key=lambda x: x["word"]):
+                    if rows and x["word"] <= rows[-1]["to"] + 1 and x["component"] == rows[-1]["component"] and x["removed"] == rows[-1]["removed"]:
+                        rows[-1].update(to=x["word"], stop=x["stop"], n=max(x["n"], rows[-1]["n"]))
+                    else:
+                        rows.append(x | {"to": x["word"]})
+                for x in rows:
+                    if any(p["start"] <= x["start"] and x["stop"] <= p["stop"] and (p["removed"] or not x["removed"]) for p in said or ()):
+                        continue
+                    for column, value in zip(out, (k, x["line"], x["start"], x["stop"], x["to"] - x["word"] + RUN, x["component"], x["n"], x["fk"], x["removed"]), strict=True):
+                        column.append(value)
+            kinds = [batch.schema.field("k").type, pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), batch.schema.field("k").type, pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+
+    return lists.mapInArrow(merge, out_schema)
+
+
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 25, size: int = 5, num: int = 4, den: int = 5, recall: float = 0.999) -> DataFrame:
     """Occurrences of paragraphs that repeat: one row for each, with its component and whether it is to be removed.
 
     Returns ``key``, paragraph (line number from 0), start and stop (code points), n_words, component_id (a number
     for all paragraphs that repeat each other), n_occurrences, first_key (the key of the occurrence that stays: the
     least by key and paragraph) and removed. Paragraphs of fewer than ``least_words`` words (white space apart) and
-    such as occur once are not in the result. Null and empty texts have no paragraphs. Keys may be null and may
+    such as occur once are not in the result of this step. Null and empty texts have no paragraphs. Keys may be null and may
     repeat; equal rows count as one occurrence. Similarity is at least num / den over shingles of ``size`` words.
 
+    Runs of 50 words or more that texts of several rows share, in any case of letters and with any white space between
+    words, have rows of their own unless a row of a paragraph covers them: paragraph is the line where they begin,
+    component_id stands for the text where they come first, n_occurrences counts their most frequent 50 words.
+
     Copies of a paragraph are one item, so a passage that a third of all documents hold is met once.
     """
     spark = docs.sparkSession
@@ -124,16 +246,39 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     met = scratch.save(places.join(comps, "id").select("k", "paragraph", "start", "stop", "n_words", "component").distinct(), "occurrences")
     first = met.groupBy("component").agg(F.count("*").alias("n_occurrences"), F.min(F.struct("k", "paragraph", "start", "stop")).alias("first")).where("n_occurrences > 1")
     first = scratch.save(first, "first")
-    return met.join(first, "component").select(
+    paragraphs = met.join(first, "component").select(
         F.col("k").alias(key), "paragraph", "start", "stop", "n_words", F.col("component").alias("component_id"), "n_occurrences",
         F.col("first.k").alias("first_key"), (F.struct("k", "paragraph", "start", "stop") != F.col("first")).alias("removed"),
     )
+    paragraphs = scratch.save(paragraphs, "paragraphs")
+    return paragraphs.unionAll(_shared_runs(scratch, own, paragraphs, key))
 
 
 def remove_paragraphs(docs: DataFrame, occurrences: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs``, its ``text`` without the lines that ``occurrences`` marks as removed."""
-    gone = occurrences.where("removed").groupBy(F.col(key).alias("__k")).agg(F.collect_set("paragraph").alias("__gone"))
-    joined = docs.join(gone.hint("shuffle_hash"), docs[key].eqNullSafe(gone["__k"]), "left")
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("i"))), lambda x: ~F.array_contains("__gone", x["i"]))
-    kept = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
-    return joined.select(*(F.when(F.col("__gone").isNull(), docs[c]).otherwise(kept).alias(c) if c == text else docs[c] for c in docs.columns))
+    """All columns of ``docs``, its ``text`` without what ``occurrences`` marks as removed; lines of which nothing is left go."""
+    gone = occurrences.where("removed").groupBy(F.col(key).alias("__k")).agg(F.collect_set(F.struct("start", "stop")).alias("__gone"))
+    names, at = docs.columns, docs.columns.index(text)
+    joined = docs.join(gone.hint("shuffle_hash"), docs[key].eqNullSafe(gone["__k"]), "left").select(*(docs[c] for c in names), "__gone")
+
+    def cut(content: str, spans: list[dict]) -> str:
+        lines, begin = [], 0
+        for line in content.split("\n"):
+            stop, parts, pos = begin + len(line), [], begin
+            for x in sorted(spans, key=lambda x: x["start"]):
+                if x["start"] < stop and x["stop"] > pos:
+                    parts.append(content[pos : max(pos, x["start"])])
+                    pos = min(stop, x["stop"])
+            left = "".join([*parts, content[pos:stop]])
+            if not parts or left.strip():
+                lines.append(left)
+            begin = stop + 1
+        return "\n".join(lines)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True)
+            columns = list(batch.columns)[: len(names)]
+            columns[at] = pa.array([cut(t, spans) if t and spans else t for t, spans in both], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return joined.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -105,6 +106,30 @@ def test_substring_dedup_finds_repeats_and_leaves_others(docs_of, edge_rows):
     assert substring_dedup(docs.limit(0)).count() == 0
 
 
+def passages(docs_of, layout):
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"t{rng.randrange(10**6)}" for _ in range(n))
+    rows = [(i, f"{text(40)}\n{text(70)}") for i in range(200, 220)]
+    passage = text(60)
+    rows[4] = (204, f"{text(50)} {passage} {text(80)}")
+    rows[9] = (209, layout(text, passage))
+    rows += [(300, "again and " * 400), (301, None), (None, text(20))]
+    docs = docs_of(rows)
+    out = substring_dedup(docs)
+    assert sorted((r.doc_id, rows[r.doc_id - 200][1][r.start : r.stop].split(), r.n_words, r.first_key, r.n_occurrences, r.removed) for r in out.collect()) == [(i, passage.split(), 60, 204, 2, i == 209) for i in (204, 209)]
+    kept = {r.doc_id: r.text for r in remove_paragraphs(docs, out).collect()}
+    assert {i: kept[i] for i, _ in rows if i != 209} == {i: t for i, t in rows if i != 209}
+    assert sorted(kept[209].split()) == sorted((Counter(rows[9][1].split()) - Counter(passage.split())).elements())
+
+
+def test_substring_dedup_finds_passages_within_paragraphs(docs_of):
+    passages(docs_of, lambda text, passage: f"é {text(90)} {passage} {text(30)}\n{text(9)}")
+
+
+def test_substring_dedup_finds_passages_over_short_lines(docs_of):
+    passages(docs_of, lambda text, passage: text(5) + "\n" + "\n".join(" ".join(passage.split()[i : i + 12]) for i in range(0, 60, 12)) + "\n" + text(7))
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(20, 16))
