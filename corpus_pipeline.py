@@ -43,8 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat small sources to flatten their shares; every document stays at least once."""
-    return mix(docs, repeats=REPEATS).select(*docs.columns)
+    """Repeat small sources to flatten their shares; every document stays at least once. Rows are in the order of the mix."""
+    order = ("mix_epoch", "mix_order", "doc_id")
+    return mix(docs, repeats=REPEATS).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,11 @@ def test_pipeline_stages_keep_columns(spark):
         kept = stage(spark, docs, DATA)
         assert kept.columns == docs.columns
         assert 0.5 * n < kept.count() <= n
+
+
+def test_rows_come_in_the_order_of_the_mix(spark, docs_of):
+    docs = docs_of([(i, f"word {i} " * (i % 7 + 1)) for i in range(300)])
+    found = [r.doc_id for r in corpus_pipeline.sources(spark, docs, DATA).collect()]
+    mixed = corpus_pipeline.mix(docs, repeats=corpus_pipeline.REPEATS).collect()
+    assert found == [r.doc_id for r in sorted(mixed, key=lambda r: (r.mix_epoch, r.mix_order, r.doc_id))]
+    assert len(found) > 300 and all(a != b for a, b in zip(found, found[1:]))
