@@ -1,17 +1,24 @@
 """Main text of web pages by the text-to-tag ratio of their lines.
 
-The standard library's parser streams events. Block tags cut the page into lines; each line has its text, the
-number of tags met in it and the containers around it. The ratio of characters to tags of each line is smoothed
-with a Gaussian kernel and split into content and rest by two-means clustering. The container with most content
-text is the article; its lines, those of a main element around it and of articles beside it are the result, except
-those in menus, adverts, notices, forms, comments and the like. Pages without a container that says what it is (article, main) give all other lines of the body; the clusters
-only find where content begins and ends, and lines outside of that which are mostly links go.
+The standard library's parser streams events. Block tags cut the page into lines; each line has its text, the number
+of tags met in it, the share of it that is links, and the element it stands in. The logarithm of each line's ratio of
+unlinked characters to tags is smoothed with a Gaussian kernel and split by two-means clustering: lines of the upper
+cluster that are not mostly links are content lines. They decide on everything else:
+
+* Names of classes are a weak prior. An element that is named like boilerplate is left out, unless it holds more than
+  half of the page's content; then its name is not believed.
+* The region of the article is the main or article element with most content, with what belongs to it (see
+  ``_article``). On pages without one it is found from the body downwards: as long as one container holds most content,
+  and what is beside it is no text of the same kind, the search goes on within.
+* Inside the region all lines stay, short ones too, but for lists of links (three lines or more without any content),
+  and, at the edges of a region that does not say what it is, lines that are mostly links.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -25,6 +32,8 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot "
     "thead tr ul caption".split()
 )
+#: Block elements that hold other blocks; all others are text of the place where they stand.
+HOLDERS = frozenset("body div section center table tbody tr td main article aside details fieldset form header footer nav dialog".split())
 #: Elements whose text is never content.
 SKIP = frozenset("script style head title noscript template nav footer aside form iframe svg button select textarea object canvas audio video menu dialog math datalist".split())
 MAIN = frozenset(["article", "main"])
@@ -45,74 +54,79 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Lines(HTMLParser):
-    """Parser events to lines (text, tags, main, dropped, links); ``main`` is the nearest article or main element, 0 if none.
+    """Parser events to lines (text, tags, linked characters, element) and elements.
 
-    ``dropped``: the innermost element whose text is dropped only if it is not around the article, 0 if none, -1 where text
-    is dropped in any case. ``links``: whether most of the text lies in links. ``boxes``, by main: whether it is a main
-    element, the main around it, the element it stands in, and what it is dropped by.
+    Elements are blocks, and others that say whether they are content: (element around, tag, drop, box, heading, class).
+    ``drop``: -1 where text is dropped in any case, 1 if its name looks like boilerplate, 2 if like readers' talk, else 0.
+    ``box``: 2 for a main element, 1 for an article, else 0. Every event takes constant time, or closes what it walks over.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
-        self.stack: list[tuple[str, int, int, bool | None, int]] = []  # tag, nearest main, dropped, whether in a link (null in headings), number
-        self.boxes: dict[int, tuple[bool, int, int, int]] = {}
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.elements: list[tuple[int, str, int, int, bool, str]] = [(-1, "", 0, 0, False, "")]
+        self.stack: list[list] = [["", 0, 0, False]]  # tag, element, like tags opened within, whether below a box
+        self.open: Counter = Counter()
         self.parts: list[str] = []
-        self.tags = self.elements = self.linked = 0
+        self.tags = self.linked = 0
+        self.link: int | None = None  # depth at which a link was opened
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, main, away, _, _ = self.stack[-1] if self.stack else ("", 0, 0, False, 0)
-            self.lines.append((text, self.tags, main, away, 2 * self.linked > len(text) - text.count(" ")))
+            self.lines.append((text, self.tags, self.linked, self.stack[-1][1]))
         self.parts.clear()
         self.tags = self.linked = 0
 
-    def _pop_to(self, at: int) -> None:
+    def _close(self, at: int) -> None:
         self._flush()
+        for entry in self.stack[at:]:
+            self.open[entry[0]] -= 1
         del self.stack[at:]
+        if self.link is not None and self.link > len(self.stack):
+            self.link = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
             self._flush()
-            if tag in ENDS_P:
-                for at in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[at][0] == "p":
-                        del self.stack[at:]
-                        break
-                    if self.stack[at][0] in BLOCK:
-                        break
+            if tag in ENDS_P and self.open["p"]:
+                at = len(self.stack) - 1
+                while self.stack[at][0] not in BLOCK and at:
+                    at -= 1
+                if self.stack[at][0] == "p":
+                    self._close(at)
         elif tag in ("br", "td", "th"):
             self.parts.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        _, main, away, link, inside = self.stack[-1] if self.stack else ("", 0, 0, False, 0)
-        own = self._away(tag, dict(attrs), main)
-        self.elements += 1
-        if own:
+        values = dict(attrs)
+        if tag == "a":
+            self.link = len(self.stack) if "href" in values else None
+        boxed = self.stack[-1][3]
+        drop = self._drop(tag, values, boxed)
+        box = 2 if tag == "main" or values.get("role") == "main" else 1 if tag == "article" else 0
+        if tag in BLOCK or drop or box:
             self._flush()
-            away = -1 if own < 0 or away < 0 else self.elements
-        if (tag in MAIN or ("role", "main") in attrs) and away >= 0:
-            self.boxes[self.elements] = tag == "main" or ("role", "main") in attrs, main, inside, away
-            main = self.elements
-        # headings are text, linked or not
-        link = None if link is None or tag in HEADING else link or tag == "a" and any(k == "href" for k, _ in attrs)
-        self.stack.append((tag, main, away, link, self.elements))
+            around = self.stack[-1][1]
+            self.elements.append((around, tag, drop, box, tag in HEADING or self.elements[around][4], values.get("class") or ""))
+            self.stack.append([tag, len(self.elements) - 1, 0, boxed or box > 0])
+            self.open[tag] += 1
+        elif self.open[tag] and self.stack[-1][0] == tag:
+            self.stack[-1][2] += 1
 
     @staticmethod
-    def _away(tag: str, attrs: dict[str, str | None], main: int) -> int:
-        """-1: text is dropped in any case, 1: unless it is around the article, 0: not dropped."""
+    def _drop(tag: str, values: dict[str, str | None], boxed: bool) -> int:
         if tag == "form":
             return 1
-        if tag in SKIP or tag == "header" and not main or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        if tag in SKIP or tag == "header" and not boxed or "hidden" in values or values.get("aria-hidden") == "true":
             return -1
         if tag in ("html", "body", "main"):
             return 0
-        if (attrs.get("role") or "").lower() in _AWAY_ROLES or _HIDDEN_STYLE.search(attrs.get("style") or ""):
+        if (values.get("role") or "").lower() in _AWAY_ROLES or _HIDDEN_STYLE.search(values.get("style") or ""):
             return -1
-        names = [n for k in ("class", "id") for n in (attrs.get(k) or "").split() if n.lower() in ("hidden", "is-hidden") or _AWAY_NAME.search(n) and not _STATE_NAME.match(n)]
-        return (-1 if any(_TALK_NAME.search(n) for n in names) else 1) if names else 0
+        names = [n for k in ("class", "id") for n in (values.get(k) or "").split() if n.lower() in ("hidden", "is-hidden") or _AWAY_NAME.search(n) and not _STATE_NAME.match(n)]
+        return (2 if any(_TALK_NAME.search(n) for n in names) else 1) if names else 0
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -121,19 +135,23 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                if tag in BLOCK or self.stack[at][2]:
-                    self._pop_to(at)
-                else:
-                    del self.stack[at]
-                return
+        if tag == "a":
+            self.link = None
+        if not self.open[tag]:
+            return
+        if tag not in BLOCK and self.stack[-1][0] == tag and self.stack[-1][2]:
+            self.stack[-1][2] -= 1
+            return
+        at = len(self.stack) - 1
+        while self.stack[at][0] != tag:
             if self.stack[at][0] in BLOCK and tag not in BLOCK:
                 return  # a stray inline end tag does not close blocks
+            at -= 1
+        self._close(at)
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
-        if self.stack and self.stack[-1][3]:
+        if self.link is not None and not self.elements[self.stack[-1][1]][4]:  # headings are text, linked or not
             self.linked += sum(map(len, data.split()))
 
     def close(self) -> None:
@@ -155,8 +173,9 @@ def smooth(values: list[float], sigma: float) -> list[float]:
     return out
 
 
-def threshold(values: list[float]) -> float:
-    """Middle between the means of two clusters (one-dimensional two-means from the extremes)."""
+def threshold(values: list[float], apart: float = math.log(2)) -> float:
+    """Middle between the means of two clusters (one-dimensional two-means from the extremes); the least value where
+    the means are less than ``apart``, so that lines of one kind are not split."""
     low, high = min(values), max(values)
     for _ in range(50):
         mid = (low + high) / 2
@@ -165,62 +184,142 @@ def threshold(values: list[float]) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if high - low >= apart else min(values)
 
 
-def _article(boxes: dict[int, tuple[bool, int, int, int]], best: int) -> set[int]:
-    """Containers that make up the article: the outermost main element around the best one; without any, the outermost
+def _article(elements: list[tuple], boxes: set[int], best: int) -> set[int]:
+    """Boxes that make up the article: the outermost main element around the best one; without any, the outermost
     article and the articles that stand in the same element; and all that is within."""
     chain = [best]
-    while boxes[chain[-1]][1]:
-        chain.append(boxes[chain[-1]][1])
-    tops = [m for m in chain if boxes[m][0]][-1:] or [m for m, x in boxes.items() if x[1:3] == boxes[chain[-1]][1:3]]
-    out = set(tops)
-    for m, x in boxes.items():  # outer ones come first
-        if x[1] in out:
-            out.add(m)
+    at = elements[best][0]
+    while at >= 0:
+        if at in boxes:
+            chain.append(at)
+        at = elements[at][0]
+    tops = [m for m in chain if elements[m][3] == 2][-1:] or [m for m in boxes if elements[m][0] == elements[chain[-1]][0] and elements[m][3] == 1]
+    return set(tops)
+
+
+def _sums(elements: list[tuple], values: dict[int, int]) -> list[int]:
+    """By element, the sum of ``values`` (by element) within it; elements come after those around them."""
+    out = [values.get(e, 0) for e in range(len(elements))]
+    for e in range(len(elements) - 1, 0, -1):
+        out[elements[e][0]] += out[e]
+    return out
+
+
+def _within(elements: list[tuple], tops: set[int]) -> list[bool]:
+    out = [False] * len(elements)
+    for e in range(len(elements)):
+        out[e] = e in tops or e > 0 and out[elements[e][0]]
     return out
 
 
-def main_text(html: str | None, sigma: float = 1.0) -> str:
-    """The article of one page, its blocks joined by newlines; empty where there is none."""
+def _descend(elements: list[tuple], mass: list[int], direct: dict[int, int]) -> int:
+    """The innermost container that holds most content, where no text of the same kind stands beside it."""
+    children: dict[int, list[int]] = {}
+    for e in range(1, len(elements)):
+        if mass[e]:
+            children.setdefault(elements[e][0], []).append(e)
+    at = 0
+    while True:
+        own = children.get(at, [])
+        if direct.get(at) or not own or any(elements[e][1] not in HOLDERS and elements[e][1] != "html" for e in own):
+            return at
+        best = max(own, key=lambda e: (mass[e], -e))
+        like = [e for e in own if e != best and (elements[e][1], elements[e][5]) == (elements[best][1], elements[best][5])]
+        if like or 10 * mass[best] < 7 * mass[at]:
+            return at
+        at = best
+
+
+def main_text(html: str | None, sigma: float = 1.0, clustered: bool = True) -> str:
+    """The article of one page, its blocks joined by newlines; empty where there is none.
+
+    Without ``clustered``, every line counts as a content line; that is what the clusters are measured against.
+    """
     if not html:
         return ""
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = parser.lines
+    lines, elements = parser.lines, parser.elements
     if not lines:
         return ""
-    ratio = smooth([len(text) / max(1, tags) for text, tags, _, _, _ in lines], sigma)
-    cut = threshold(ratio)
-    mass: dict[int, tuple[int, int]] = {}
-    for r, (text, _, main, away, _) in zip(ratio, lines, strict=True):
-        if main and away == parser.boxes[main][3]:
-            a, b = mass.get(main, (0, 0))
-            mass[main] = (a + len(text) * (r >= cut), b + len(text))
-    # a container within a wrapper that looks like boilerplate is the article where all else has less text
-    if not all(parser.boxes[m][3] for m in mass) or max((b for _, b in mass.values()), default=0) <= sum(len(text) for text, _, _, away, _ in lines if not away):
-        mass = {m: x for m, x in mass.items() if not parser.boxes[m][3]}
-    if mass:
-        best = max(mass, key=lambda m: (mass[m], -m))
-        whole = _article(parser.boxes, best)
-        kept = [text for text, _, main, away, _ in lines if main in whole and away == parser.boxes[best][3]]
+    sizes = [len(text) - text.count(" ") for text, *_ in lines]
+    links = [2 * linked > size for size, (_, _, linked, _) in zip(sizes, lines, strict=True)]
+    hard = [False] * len(elements)
+    for e, (around, _, drop, *_) in enumerate(elements):
+        hard[e] = drop < 0 or around >= 0 and hard[around]
+    shown = [i for i, x in enumerate(lines) if not hard[x[3]]]
+    if not shown:
+        return ""
+    # logarithms, so that one very long line does not make all others look like the rest
+    raw = [math.log1p((sizes[i] - min(sizes[i], lines[i][2])) / max(1, lines[i][1])) for i in shown]
+    ratio = dict(zip(shown, smooth(raw, sigma), strict=True))
+    cut = threshold(list(ratio.values()))
+    content = [i for i in shown if not links[i] and (ratio[i] >= cut or not clustered)]
+
+    def masses(of: list[int]) -> list[int]:
+        by: dict[int, int] = {}
+        for i in of:
+            by[lines[i][3]] = by.get(lines[i][3], 0) + sizes[i]
+        return _sums(elements, by)
+
+    mass = masses(content)
+    boxes = {e for e, x in enumerate(elements) if x[3] and not hard[e]}
+    boxed = _within(elements, boxes)
+    in_boxes = masses([i for i in content if boxed[lines[i][3]]])
+    flagged = [False] * len(elements)
+    for e, (around, _, drop, *_) in enumerate(elements):
+        flagged[e] = e > 0 and flagged[around]
+        if drop > 0 and not flagged[e]:  # talk is not believed to be the article where another box has content
+            flagged[e] = 2 * mass[e] <= mass[0] or drop == 2 and in_boxes[0] > in_boxes[e]
+    open_ = [i for i in shown if not flagged[lines[i][3]]]
+    content = [i for i in content if not flagged[lines[i][3]]]
+    mass, whole = masses(content), masses(open_)
+    boxes = {b for b in boxes if not flagged[b] and whole[b]}
+    if boxes:
+        best = max(boxes, key=lambda b: (mass[b], whole[b], -b))
+        region = _within(elements, _article(elements, boxes, best))
+        edges = False
     else:
-        # logarithms, so that one very long line does not make all others look like the rest
-        ratio = smooth([math.log(len(text) / max(1, tags)) for text, tags, _, _, _ in lines], sigma)
-        cut = threshold(ratio)
-        found = [i for i, (r, (_, _, _, away, links)) in enumerate(zip(ratio, lines, strict=True)) if r >= cut and not (away or links)]
+        direct: dict[int, int] = {}
+        for i in content:
+            direct[lines[i][3]] = direct.get(lines[i][3], 0) + 1
+        top = _descend(elements, mass, direct)
+        region = _within(elements, {top})
+        edges = True
+    kept = [i for i in open_ if region[lines[i][3]]]
+    # lists of links: elements of three lines or more that are mostly links, without content
+    by: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for i in kept:
+        by[lines[i][3]] = by.get(lines[i][3], 0) + 1
+        linked[lines[i][3]] = linked.get(lines[i][3], 0) + links[i]
+    n, n_linked = _sums(elements, by), _sums(elements, linked)
+    menu = [n[e] >= 3 and 10 * n_linked[e] >= 9 * n[e] and not mass[e] for e in range(len(elements))]
+    for e in range(1, len(elements)):
+        menu[e] = menu[e] or menu[elements[e][0]]
+    left = [i for i in kept if not menu[lines[i][3]]] or kept
+    if edges:
+        found = [i for i in content if region[lines[i][3]]]
         first, last = (found[0], found[-1]) if found else (0, len(lines))
-        kept = [text for i, (text, _, _, away, links) in enumerate(lines) if not away and (first <= i <= last or not links)]
-    return "\n".join(kept)
+        left = [i for i in left if first <= i <= last or not links[i]] or left
+        before = [i for i in open_ if i < left[0] and not region[lines[i][3]]]
+        titles = [i for i in before if elements[lines[i][3]][1] == "h1"]
+        while before and elements[lines[before[-1]][3]][4] and before[-1] not in titles:
+            titles.append(before.pop())
+        left = sorted({*titles, *left})
+    return "\n".join(lines[i][0] for i in left)
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), sigma: float = 1.0) -> DataFrame:
     """One row per page: the ``keep`` columns, ``text`` and ``n_chars`` (code points).
 
     Null or empty html and pages without content give an empty text; repeated rows stay; other columns are left
-    out, so names can't clash. Each page is parsed alone in streamed Arrow batches: no shuffle.
+    out, so names can't clash; an empty table gives no rows. Each page is parsed alone, whatever its length, in
+    streamed Arrow batches: no shuffle. Time and memory grow in proportion to a page.
     """
     own = pages.select(*keep, F.col(html).alias("__html"))
     fields = [f for f in own.schema.fields if f.name != "__html"]
