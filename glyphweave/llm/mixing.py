@@ -19,10 +19,12 @@ from .common import Scratch
 
 #: Weights are sent to all executors up to so many sources (some 100 bytes each); beyond, they are joined by shuffle.
 BROADCAST_SOURCES = 100_000
+#: Rows of a block, by default.
+BLOCK_ROWS = 1 << 16
 
 
 def count_words(text: Column) -> Column:
-    """Tokens of a text, as words between white space; none of a null text."""
+    """Words between white space; none of a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
@@ -62,9 +64,13 @@ def find_exponent(totals: DataFrame, entropy: float | None = None, repeats: floa
     return bisect_exponent(enough)
 
 
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", entropy: float | None = None, repeats: float | None = None, budget: int | None = None, blocks: int = 1024, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", entropy: float | None = None, repeats: float | None = None, budget: int | None = None, blocks: int | None = None, seed: int = 0, tokens: str | None = None) -> DataFrame:
     """All columns of ``docs``, and mix_tokens, mix_epoch (from 1), mix_block and mix_order, one row for each use.
 
+    ``tokens``: the column that counts each row's tokens; by default words are counted. ``blocks`` of each source are by
+    default as many as give blocks of about ``BLOCK_ROWS`` rows of a table, 1,024 at least, so that the one block of a
+    source that is cut is a bounded piece of work at every size.
+
     Read in order of (mix_epoch, mix_order, ``key``), each source runs through its blocks in that epoch's order.
     ``budget``: tokens of all sources together; by default as many as let the largest source be used just once, so
     that no document is left out. The last epoch takes documents while their tokens fit what is left of the budget;
@@ -79,9 +85,11 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     docs = docs.drop("mix_tokens", "mix_epoch", "mix_block", "mix_order")
+    if blocks is None:
+        blocks = max(1024, 1 << (docs.count() // BLOCK_ROWS).bit_length())
     place = F.xxhash64(F.lit(seed), F.col(key))
-    marked = docs.withColumns({"__hash": place, "__source": F.col(source), "__text": F.col(text)}).withColumn("mix_block", F.pmod("__hash", F.lit(blocks)).cast("int"))
-    words = count_words(F.col("__text"))
+    marked = docs.withColumns({"__hash": place, "__source": F.col(source), "__text": F.col(text if tokens is None else tokens)}).withColumn("mix_block", F.pmod("__hash", F.lit(blocks)).cast("int"))
+    words = count_words(F.col("__text")) if tokens is None else F.coalesce(F.col("__text"), F.lit(0)).cast("bigint")
     light = scratch.save(marked.groupBy("__source", "mix_block").agg(F.sum(words).alias("n")), "blocks")
     totals = scratch.save(light.groupBy("__source").agg(F.sum("n").alias("n")), "totals")
     used = totals.where("n > 0")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import Scratch, read_table
 from .embedding_join import near_vectors
 from .html_extraction import extract_main_text
 from .line_dedup import dedup_lines
@@ -18,6 +18,7 @@ from .packing import pack
 from .quality import classify, train
 from .secret_scan import RULES, scan_versions, spans_string
 from .substring_dedup import substring_dedup
+from .tokens import count_tokens
 
 #: Times that mixing uses a document at most.
 REPEATS = 2.0
@@ -56,9 +57,12 @@ _OP5_SQL = r"""
     WITH a AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
     l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM a),
     f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM l WHERE regexp_matches(line, '\S')),
-    w AS (SELECT doc_id, k, t, lead(t) OVER (PARTITION BY doc_id ORDER BY k) AS u FROM f),
-    o AS (SELECT *, row_number() OVER (PARTITION BY t, u ORDER BY doc_id, k) AS nth FROM w WHERE u IS NOT NULL),
-    g AS (SELECT doc_id, k FROM o WHERE nth > 1 UNION SELECT doc_id, k + 1 FROM o WHERE nth > 1),
+    z AS (SELECT *, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) >= 5 AS long FROM f),
+    q AS (SELECT doc_id, k, t, long, lead(t) OVER (PARTITION BY doc_id ORDER BY k) AS u, lead(long) OVER (PARTITION BY doc_id ORDER BY k) AS next_long FROM z),
+    w AS (SELECT doc_id, k, 1 AS n, t AS body FROM q WHERE long UNION ALL SELECT doc_id, k, 2, t || chr(10) || u FROM q WHERE u IS NOT NULL AND NOT (long AND next_long)),
+    o AS (SELECT *, row_number() OVER v AS nth, first_value(doc_id) OVER v AS first_doc, first_value(k) OVER v AS first_k FROM w WINDOW v AS (PARTITION BY body ORDER BY doc_id, k)),
+    r AS (SELECT *, k + unnest(range(n)) AS line FROM o WHERE nth > 1),
+    g AS (SELECT DISTINCT doc_id, line AS k FROM r WHERE NOT (first_doc = doc_id AND line BETWEEN first_k AND first_k + n - 1)),
     m AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.k IS NULL) AS text, count(f.k) AS n_lines, count(g.k) AS n_removed
           FROM l LEFT JOIN f ON f.doc_id = l.doc_id AND f.i = l.i LEFT JOIN g ON g.doc_id = f.doc_id AND g.k = f.k GROUP BY l.doc_id)
     SELECT a.doc_id, CASE WHEN n_removed > 0 THEN coalesce(m.text, '') ELSE a.text END AS text, n_lines, n_removed FROM a JOIN m ON m.doc_id = a.doc_id"""
@@ -124,8 +128,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs, repeats=REPEATS).drop("text")
+    counted = F.col("doc_id"), F.col("source"), count_tokens(F.col("text"), tokenizer_path()).alias("n_tokens")
+    docs = Scratch(spark, "mixing").save(read_table(spark, sf_dir, "documents").select(*counted), "tokens")
+    return mix(docs, repeats=REPEATS, tokens="n_tokens").drop("n_tokens")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

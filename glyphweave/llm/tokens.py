@@ -13,6 +13,9 @@ import json
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 #: The byte-level pattern; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -70,3 +73,14 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
             return _plain(path)(text)
 
     return encode
+
+
+def count_tokens(text: Column, path: str) -> Column:
+    """How many ids a text has; 0 of a null one. Texts are encoded whole, one Arrow batch at a time."""
+
+    @F.arrow_udf("bigint")
+    def counted(texts: pa.Array) -> pa.Array:
+        encode = encoder(path)
+        return pa.array([len(encode(t)) if t else 0 for t in texts.to_pylist()], pa.int64())
+
+    return counted(text)

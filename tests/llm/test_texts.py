@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 from collections import defaultdict
@@ -64,24 +65,34 @@ def test_the_ledger_scans_only_what_is_new(spark, tmp_path):
 @pytest.mark.parametrize("window", [1, 2, 3])
 def test_line_dedup_equals_brute_force(spark, docs_of, edge_rows, window):
     rng = random.Random(window)
-    rows = [(i * 2, "\n".join(rng.choice(["alpha ", " beta", "gamma", "", "delta", "one of a kind " + str(rng.random())]) for _ in range(rng.randrange(9)))) for i in range(1, 60)]
+    pool = ["alpha ", " beta", "gamma", "", "delta", "five words of one line", " five more words of another\t", "a third line of many words"]
+    rows = [(i * 2, "\n".join(rng.choice([*pool, "one of a kind " + str(rng.random())]) for _ in range(rng.randrange(9)))) for i in range(1, 80)]
+    rows += [(7001, "a\na\na\na\na"), (7002, "license line of five words\nx1"), (7003, "y1\nlicense line of five words\ny2"), (7004, "license line"), (7005, "license line")]
     rows += [(None if i is None else i * 1001, t) for i, t in edge_rows]
     docs = docs_of(rows).withColumnRenamed("lang", "n_lines")
     places, own = defaultdict(list), {}
-    for i, t in rows:
+    order = lambda i: i if i is not None else -1
+    for i, t in dict.fromkeys(rows):
         lines = (t or "").split("\n")
         full = [k for k, line in enumerate(lines) if line.strip()]
         own[(i, t)] = lines, full
-        for s in range(len(full) - window + 1):
-            key = (i if i is not None else -1, s)
-            places[tuple(lines[k].strip() for k in full[s : s + window])].append(key)
+        for s in range(len(full)):
+            for e in range(s + 1, len(full) + 1):
+                if e - s >= window or e - s == 1 and len(lines[full[s]].split()) >= 5:
+                    places[tuple(lines[k].strip() for k in full[s:e])].append((order(i), t or "", s))
     expected = {}
     for (i, t), (lines, full) in own.items():
-        gone = set()
-        for s in range(len(full) - window + 1):
-            if min(places[tuple(lines[k].strip() for k in full[s : s + window])]) < (i if i is not None else -1, s):
-                gone |= set(full[s : s + window])
+        gone = set()  # every run that is long enough and stands earlier, whatever its length
+        for s in range(len(full)):
+            for e in range(s + 1, len(full) + 1):
+                run = tuple(lines[k].strip() for k in full[s:e])
+                if run in places and e - s <= window:
+                    first = min(places[run])
+                    if first < (order(i), t or "", s):
+                        same = range(first[2], first[2] + e - s) if first[:2] == (order(i), t or "") else ()
+                        gone |= {full[j] for j in range(s, e) if j not in same}
         expected[(i, t)] = ("\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else t, len(full), len(gone))
+    assert expected[rows[79]][0] == "a\n" * (window - 1) + "a" and expected[rows[81]][0] == "y1\ny2"
     found = dedup_lines(docs, window=window).collect()
     assert sorted((str(r.doc_id), str(r.text), r.n_lines, r.n_removed) for r in found) == sorted((str(i), *map(lambda v: str(v) if v is None or isinstance(v, str) else v, expected[(i, t)])) for i, t in rows)
     assert dedup_lines(docs.limit(0)).count() == 0
@@ -231,3 +242,60 @@ def test_html_keeps_the_whole_article():
     for away in ("<div class=hidden>{}</div>", "<div class=site-footer>{}</div>", "<section class=comments><article>{}</article></section>", "<div class=related><article>{}</article></div>"):
         assert main_text(f"<article>{para}{para}</article>" + away.format("<p>rest")) == f"{body}\n{body}"
         assert main_text(f"<div>{para}</div>" + away.format("<p>rest")) == body
+
+
+_LONG = "This is a sentence of the article that goes on for a good while, as sentences of articles do."
+_P = [f"{i}. {_LONG} {_LONG}" for i in range(6)]
+_PS = "".join(f"<p>{p}</p>" for p in _P)
+_TEXT = "\n".join(_P)
+_MENU = "<ul>" + "".join(f"<li><a href='/{i}'>Entry {i}</a></li>" for i in range(8)) + "</ul>"
+_TALK = "".join(f"<div><b>Reader {i}</b><p>{_LONG} {_LONG} {_LONG}</p></div>" for i in range(9))
+_PLAIN = "".join(f"<div><span>Phone {i}</span></div>" for i in range(60))
+PAGES = {
+    "article": (f"<nav>{_MENU}</nav><div class=ad>Buy now.</div><article><h1>Title</h1>{_PS}</article><footer>End</footer>", f"Title\n{_TEXT}"),
+    "layout names around": (f"<div class='layout with-sidebar'><article>{_PS}</article><div class=sidebar>{_MENU}</div></div>", _TEXT),
+    "open to comments": (f"<article class='post comments-open'>{_PS}<section class=comments>{_TALK}</section></article>", _TEXT),
+    "more comments than article": (f"<article>{_PS}</article><div id=comments>{_TALK}{_TALK}</div>", _TEXT),
+    "comments as articles": (f"<article>{_PS}</article><ol class=comment-list><li><article>{_TALK}</article></li></ol>", _TEXT),
+    "wrapper named like boilerplate": (f"<div class='related widget'>{_PS}</div><div class=related>Other news today</div>", _TEXT),
+    "sidebar without a name": (f"<div class=c><h1>Title</h1>{_PS}</div><div class=d>{_MENU}</div>", f"Title\n{_TEXT}"),
+    "title outside": (f"<div>{_MENU}</div><h1>Title</h1><div>{_PS}</div><div>{_PLAIN}</div>", f"Title\n{_TEXT}"),
+    "two parts alike": (f"<div class=s>{_PS}</div><div class=s><p>{_P[0]}</p></div>", f"{_TEXT}\n{_P[0]}"),
+    "text beside a part": (f"<p>{_P[1]}</p><div class=s>{_PS}</div>", f"{_P[1]}\n{_TEXT}"),
+    "tables": (f"<table><tr><td>{_MENU}</td><td>{_PS}</td></tr></table>", _TEXT),
+    "main with a lead": (f"<main><h1>Title</h1><p>Short lead.</p><article>{_PS}</article></main><aside>{_LONG}</aside>", f"Title\nShort lead.\n{_TEXT}"),
+    "header of an article": (f"<header>Site</header><article><header><h1>Title</h1><p>By A. Writer</p></header>{_PS}</article>", f"Title\nBy A. Writer\n{_TEXT}"),
+    "hidden": (f"<article>{_PS}<div hidden>{_LONG}</div><p aria-hidden=true>{_LONG}</p><p style='display: none'>{_LONG}</p></article>", _TEXT),
+    "code": (f"<article><script>var a = '<p>{_LONG}';</script><style>p {{}}</style>{_PS}<noscript>{_LONG}</noscript></article>", _TEXT),
+    "short lines within": (f"<article><p>Yes.</p>{_PS}<p>No.</p><h2>Then</h2><p>Maybe.</p></article>", f"Yes.\n{_TEXT}\nNo.\nThen\nMaybe."),
+    "lists and quotes": (f"<article>{_PS}<ul><li>One</li><li>Two</li><li>Three</li></ul><blockquote>Quoted</blockquote><pre>a  b\n c</pre></article>", f"{_TEXT}\nOne\nTwo\nThree\nQuoted\na b c"),
+    "menu within": (f"<article>{_PS}{_MENU}<p>Last.</p></article>", f"{_TEXT}\nLast."),
+    "links within text": ("<article><h2><a href=x>Linked title</a></h2>" + _PS.replace("article", "<a href=y>article</a>") + "</article>", f"Linked title\n{_TEXT}"),
+    "unclosed tags": (f"<body><article><p><b>Bold start<br>on<p>{_P[0]}<ul><li>One<li>Two</ul><p><i>{_P[1]}", f"Bold start on\n{_P[0]}\nOne\nTwo\n{_P[1]}"),
+    "references and space": ("<article><p>a &amp;&nbsp; b\t\n&lt;c&gt; &#233;&eacute;</p>" + _PS + "</article>", f"a & b <c> éé\n{_TEXT}"),
+    "notices and forms": (f"<div class=cookie-consent><p>{_LONG}</p></div><div role=dialog>{_LONG}</div><article>{_PS}<form><label>Mail</label><button>Go</button></form></article>", _TEXT),
+    "form around": (f"<form id=aspnet><div>{_MENU}</div><article>{_PS}</article></form>", _TEXT),
+    "several articles": (f"<div id=feed><article>{_PS}</article><article><p>{_P[2]}</p></article></div><div class=x><article><p>Teaser</p></article></div>", f"{_TEXT}\n{_P[2]}"),
+    "contacts beside": (f"<div class=a>{_PS}</div><div class=b>{_PLAIN}</div>", _TEXT),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_main_text_of_varied_pages(name):
+    page, expected = PAGES[name]
+    assert main_text(f"<html><head><title>T</title></head><body>{page}</body></html>") == expected
+
+
+def test_clusters_decide_where_no_element_says_what_it_is():
+    page, expected = PAGES["contacts beside"]
+    assert main_text(page) == expected != main_text(page, clustered=False)
+
+
+def test_page_costs_grow_in_proportion():
+    for part, end in (("<b>x <i>", ""), ("<div>", "</p>"), ("<span class=ad>a", "</b></span>")):
+        times = []
+        for n in (4_000, 32_000):
+            began = time.perf_counter()
+            main_text(f"<p>{_LONG}</p>" + part * n + end * n)
+            times.append(time.perf_counter() - began)
+        assert times[1] < 24 * times[0] + 1
