@@ -2,8 +2,10 @@
 
 Vectors of length 1 whose cosine is c or more lie within epsilon = sqrt(2 - 2 c). They are rotated onto their
 principal axes and sorted by the cells, epsilon wide, that they fall into on the leading axes. The sorted sequence is
-cut into stretches; each pair of stretches is joined recursively: a pair of intervals whose boxes lie farther apart
-than epsilon on the axes is skipped, others are halved until they are small, then compared by a matrix product.
+cut into stretches, each with its box on the axes. A vector is sent to its own stretch and to those whose boxes lie
+within epsilon of it; stretches that are provably distant never meet. Each pair of stretches that do is joined
+recursively: a pair of intervals whose boxes lie farther apart than epsilon is skipped, others are halved until they
+are small, then compared by a matrix product.
 The product is in single precision with a margin for its error; what passes is computed in double precision.
 """
 
@@ -25,6 +27,8 @@ STRETCH = 8192
 LEAF = 512
 #: Leading axes whose cells make the order, and keys sampled to cut the sequence.
 AXES, SAMPLE = 5, 20_000
+#: Axes of the boxes, and boxes known to all tasks at most: 128 bytes each, 8 MB. Beyond, neighbours share a box.
+BOX_AXES, MOST_BOXES = 16, 1 << 16
 
 
 def vectors_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +100,16 @@ def _join(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, eps2: f
                 yield x[exact], y[exact]
 
 
+def near_boxes(p: np.ndarray, low: np.ndarray, high: np.ndarray, eps2: float) -> np.ndarray:
+    """By point (row) and box (column), whether the box lies so near, its distance squared, that a link may cross."""
+    gap = np.zeros((len(p), len(low)), np.float32)
+    for k in range(p.shape[1]):
+        x = p[:, k : k + 1]
+        g = np.maximum(np.maximum(low[None, :, k] - x, x - high[None, :, k]), 0)
+        gap += g * g
+    return gap <= np.float32(eps2) + np.float32(1e-4)
+
+
 def _forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
     """A spanning forest of the pairs, over 0..n-1."""
     up = list(range(n))
@@ -113,14 +127,15 @@ def _forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[in
     return out
 
 
-def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", cosine: float = 0.9) -> DataFrame:
+def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", cosine: float = 0.9, stretch: int = STRETCH) -> DataFrame:
     """``key``, n_links, component_id and kept of every row.
 
     n_links counts the other rows whose cosine with this one is ``cosine`` or more, computed in double precision;
     component_id is the least key that links lead to, and kept says that it is this one. A vector that is null,
     empty, zero, or holds null or non-finite numbers links with nothing; vectors of different widths never link.
     Keys are integers; rows with equal vectors are met once and linked; rows with one key are one vertex. A row
-    without a key counts as a link of others, and has no component.
+    without a key counts as a link of others, and has no component. An empty table gives no rows; columns besides the
+    two are left out, so names can't clash; vectors may be of any width. ``stretch``: vectors of a unit of work.
 
     Tasks return counts and a spanning forest of what they find, so that a group of thousands of near copies makes
     rows in proportion to its vectors, not its pairs.
@@ -191,7 +206,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
         m = m.reshape(width + 1, width + 1)
         mean = m[0, 1:] / n
         _, basis = np.linalg.eigh(m[1:, 1:] / n - np.outer(mean, mean))
-        axes[width] = np.ascontiguousarray(basis[:, ::-1][:, : min(width, 16)])
+        axes[width] = np.ascontiguousarray(basis[:, ::-1][:, : min(width, BOX_AXES)])
     eps2 = 2 - 2 * cosine + 1e-9
     eps = float(np.sqrt(eps2))
 
@@ -209,32 +224,67 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
         for batch in batches:
             us, nodes = batch.column("u").to_pylist(), batch.column("node").to_numpy()
             widths = np.array([len(u) // 8 for u in us])
-            keys = np.zeros(len(us), np.int64)
+            keys, places = np.zeros(len(us), np.int64), np.zeros((len(us), BOX_AXES), np.float32)
             for w in np.unique(widths):
                 at = np.flatnonzero(widths == w)
-                x = np.array([np.frombuffer(us[i], "<f8") for i in at])
-                keys[at] = order(x @ axes[int(w)], nodes[at])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), batch.column("u"), pa.array(widths.astype(np.int32)), pa.array(keys)], names=["node", "n", "u", "width", "ord"])
-
-    sorted_ = scratch.save(distinct.mapInArrow(keyed, "node bigint, n bigint, u binary, width int, ord bigint"), "keyed")
+                x = np.array([np.frombuffer(us[i], "<f8") for i in at]) @ axes[int(w)]
+                keys[at] = order(x, nodes[at])
+                places[at, : x.shape[1]] = x
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(places.ravel()), BOX_AXES).cast(pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), batch.column("u"), pa.array(widths.astype(np.int32)), pa.array(keys), lists], names=["node", "n", "u", "width", "ord", "p"])
+
+    shape = "node bigint, n bigint, u binary, width int, ord bigint, p array<float>"
+    sorted_ = scratch.save(distinct.mapInArrow(keyed, shape), "keyed")
+    scratch.drop("distinct")
     step = max(1, n_all // SAMPLE)
     sample = sorted_.where(F.pmod("node", F.lit(step)) == 0).orderBy(F.xxhash64("node")).limit(2 * SAMPLE).select("width", "ord").collect()
     cuts: dict[int, list[int]] = {}
     for width, (n, _) in sums.items():
         own_keys = sorted(r["ord"] for r in sample if r["width"] == width)
-        k = -(-n // STRETCH)
+        k = -(-n // stretch)
         cuts[width] = sorted({own_keys[len(own_keys) * i // k] for i in range(1, k)}) if own_keys else []
 
     def stretch_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            widths, keys = batch.column("width").to_pylist(), batch.column("ord").to_numpy()
-            own_stretch = np.array([np.searchsorted(cuts[w], k, side="right") for w, k in zip(widths, keys, strict=True)], np.int32)
-            most = np.array([len(cuts[w]) for w in widths], np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own_stretch), pa.array(most)], names=[*batch.schema.names, "stretch", "most"])
-
-    placed = sorted_.mapInArrow(stretch_of, "node bigint, n bigint, u binary, width int, ord bigint, stretch int, most int")
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("most"))))
-    dealt = dealt.select("width", F.least("stretch", "other").alias("i"), F.greatest("stretch", "other").alias("j"), "stretch", "ord", "node", "n", "u")
+            widths, keys = batch.column("width").to_numpy(), batch.column("ord").to_numpy()
+            own_stretch = np.zeros(len(keys), np.int32)
+            for w in np.unique(widths):
+                own_stretch[widths == w] = np.searchsorted(cuts[int(w)], keys[widths == w], side="right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own_stretch)], names=[*batch.schema.names, "stretch"])
+
+    placed = sorted_.mapInArrow(stretch_of, f"{shape}, stretch int")
+    # a box for each stretch, or for each few neighbours where there are very many
+    share = -(-max((len(c) + 1 for c in cuts.values()), default=1) // MOST_BOXES)
+    ends = [f(F.col("p")[k]).alias(f"{f.__name__}{k}") for f in (F.min, F.max) for k in range(BOX_AXES)]
+    boxes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    found_boxes = placed.groupBy("width", F.floor(F.col("stretch") / share).cast("int").alias("box")).agg(*ends).collect()
+    for width in sums:
+        own_boxes = sorted((r for r in found_boxes if r["width"] == width), key=lambda r: r["box"])
+        low, high = (np.array([[r[f"{f}{k}"] for k in range(BOX_AXES)] for r in own_boxes], np.float32).reshape(-1, BOX_AXES) for f in ("min", "max"))
+        boxes[width] = np.array([r["box"] for r in own_boxes], np.int64), low, high
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths, own_stretch = batch.column("width").to_numpy(), batch.column("stretch").to_numpy()
+            p = np.array(batch.column("p").flatten()).reshape(-1, BOX_AXES)
+            for w in np.unique(widths).tolist():
+                names, low, high = boxes[w]
+                mine = np.flatnonzero(widths == w)
+                step = max(1, (1 << 21) // max(1, len(names)))
+                for at in range(0, len(mine), step):
+                    part = mine[at : at + step]
+                    row, box = np.nonzero(near_boxes(p[part], low, high, eps2))
+                    other = (names[box, None] * share + np.arange(share)).ravel()
+                    row = part[np.repeat(row, share)]
+                    good = other <= len(cuts[w])
+                    row, other = row[good], other[good].astype(np.int32)
+                    near = batch.take(pa.array(row))
+                    i, j = np.minimum(own_stretch[row], other), np.maximum(own_stretch[row], other)
+                    yield pa.RecordBatch.from_arrays([near.column("width"), pa.array(i), pa.array(j), *(near.column(c) for c in ("stretch", "ord", "node", "n", "u"))], names=["width", "i", "j", "stretch", "ord", "node", "n", "u"])
+
+    dealt = placed.mapInArrow(deal, "width int, i int, j int, stretch int, ord bigint, node bigint, n bigint, u binary")
+
+    none = pa.table({c: pa.array([], pa.int64()) for c in ("a", "b", "links")})
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by([("stretch", "ascending"), ("ord", "ascending")])
@@ -243,6 +293,8 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
         x = np.frombuffer(b"".join(table.column("u").to_pylist()), "<f8").reshape(len(node), -1)
         p = x @ axes[x.shape[1]]
         left, right = np.flatnonzero(stretch == i), np.flatnonzero(stretch == j)
+        if not (len(left) and len(right)):
+            return none
         links = np.zeros(len(node), np.int64)
         pairs = []
         for a, b in _join(x[left], x[right], p[left], p[right], eps2, cosine, i == j):

@@ -9,7 +9,7 @@ import pytest
 
 from glyphweave.llm.common import Scratch
 from glyphweave.llm.components import components
-from glyphweave.llm.embedding_join import near_vectors
+from glyphweave.llm.embedding_join import near_boxes, near_vectors
 from glyphweave.llm.ngram_join import ngram_join
 from glyphweave.llm.substring_dedup import remove_paragraphs, substring_dedup, tune
 
@@ -130,14 +130,27 @@ def test_substring_dedup_finds_passages_over_short_lines(docs_of):
     passages(docs_of, lambda text, passage: text(5) + "\n" + "\n".join(" ".join(passage.split()[i : i + 12]) for i in range(0, 60, 12)) + "\n" + text(7))
 
 
-def test_vectors_equal_brute_force(spark):
+def test_distant_boxes_do_not_meet():
+    rng = np.random.default_rng(3)
+    p = rng.normal(size=(300, 16)).astype(np.float32)
+    low, high = p.reshape(30, 10, 16).min(1), p.reshape(30, 10, 16).max(1)
+    for eps2 in (0.2, 2.0, 8.0):
+        near = near_boxes(p, low, high, eps2)
+        gap = np.maximum(0, np.maximum(low[None] - p[:, None], p[:, None] - high[None]))
+        exact = (gap.astype(float) ** 2).sum(2)
+        assert near[exact <= eps2].all() and not near[exact > eps2 + 0.01].any()
+        assert 0 < near.sum() < near.size
+
+
+@pytest.mark.parametrize("stretch", [8192, 20])
+def test_vectors_equal_brute_force(spark, stretch):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(20, 16))
     x = np.vstack([rng.normal(size=(150, 16)), centres.repeat(6, 0) + 0.12 * rng.normal(size=(120, 16)), centres[:3].repeat(5, 0) * 1e30])
     rows = [(i + 10, [float(v) for v in row]) for i, row in enumerate(x)]
     rows += [(1000, None), (1001, []), (1002, [0.0] * 16), (1003, [float("nan")] + [1.0] * 15), (1004, [float("inf")] + [1.0] * 15), (1005, [None] + [1.0] * 15), (1006, [1.0, 0.0]), (1007, [2.0, 0.0]), (1008, rows[0][1]), (1008, rows[0][1])]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").selectExpr("*", "1 AS n_links")
-    found = near_vectors(frame).collect()
+    found = near_vectors(frame, stretch=stretch).collect()
     assert len(found) == len(rows)
     good = [(i, np.array(v) / np.linalg.norm(np.array(v))) for i, v in rows if i < 1000 or i >= 1006]
     links, edges = {j: 0 for j in range(len(good))}, []
