@@ -39,10 +39,11 @@ def normalize_text(text: Column) -> Column:
 
 
 def file_number(name: Column) -> Column:
-    """Leading digits of a name, else its first digits, as an integer; null without digits or beyond 18 of them."""
+    """Leading digits of a name, else its first digits, as a number of 38 digits at most; null without digits, and
+    beyond that."""
     ascii_name = F.translate(name, ARABIC_DIGITS, "0123456789" * 2)
     digits = F.coalesce(*(F.nullif(F.regexp_extract(ascii_name, p, 1), F.lit("")) for p in (rf"^[{SPACE}]*([0-9]+)", "([0-9]+)")))
-    return F.when(F.length(digits) <= 18, digits.cast("bigint"))
+    return digits.try_cast("decimal(38,0)")
 
 
 def identity_skeleton(text: Column) -> Column:
@@ -88,6 +89,11 @@ def compression_ratio(size: Column, compressed: Column) -> Column:
     return size / F.greatest(compressed, F.lit(1))
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """To so many decimal places, ties to even."""
+    return F.bround(value, digits)
+
+
 def half_points(points: Column) -> Column:
     """Font size in half points, ties to even."""
     return F.bround(points * 2).cast("int")

@@ -15,6 +15,8 @@ SPACE = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028
 ARABIC_BLOCKS = ((0x0600, 0x06FF), (0x0750, 0x077F), (0x0870, 0x089F), (0x08A0, 0x08FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF))
 #: Code points outside the blocks whose character names contain ARABIC; fixed values.
 ARABIC_ELSEWHERE = ((0x206C, 0x206D), (0x10EC2, 0x10EC4), (0x10EFC, 0x10EFF), (0x1EE00, 0x1EEF1))
+#: Arabic characters as a bracket expression.
+ARABIC_CLASS = "[" + "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in (*ARABIC_BLOCKS, *ARABIC_ELSEWHERE)) + "]"
 
 
 def codepoint(ch: Column) -> Column:
@@ -47,8 +49,7 @@ def is_arabic(ch: Column) -> Column:
 
 def has_arabic(text: Column) -> Column:
     """Whether a text holds an Arabic character."""
-    ranges = "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in (*ARABIC_BLOCKS, *ARABIC_ELSEWHERE))
-    return text.rlike(f"[{ranges}]")
+    return text.rlike(ARABIC_CLASS)
 
 
 def is_arabic_letter(ch: Column) -> Column:

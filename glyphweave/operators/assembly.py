@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import base_name, file_number
+from ..functions.scalars import base_name, file_number, stem
 from .segments import islands
 
 
@@ -21,6 +22,11 @@ def natural_order() -> list[Column]:
     return [F.col("number").asc_nulls_last(), F.lower("name").asc()]
 
 
+def order_key() -> Column:
+    """The natural order as one text that sorts like it: numbers filled up to 38 digits, those without one last."""
+    return F.concat(F.coalesce(F.lpad(F.col("number").cast("string"), 38, "0"), F.lit("~")), F.lit(" "), F.lower("name"))
+
+
 def duplicates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and how often; null is no key."""
     filled = rows
@@ -29,6 +35,22 @@ def duplicates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return filled.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").withColumnRenamed("__n", "n")
 
 
+def repeats(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows whose key occurred before, by ``order``: all columns, and ``first``, the place of the first occurrence."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    place = F.struct(*order)
+    marked = rows.withColumns({"__nth": F.row_number().over(w), "first": F.first(place).over(w)})
+    for k in keys:
+        marked = marked.where(F.col(k).isNotNull())
+    return marked.where("__nth > 1").drop("__nth")
+
+
+def duplicate_stems(files: DataFrame, path: str = "path") -> DataFrame:
+    """Files whose stem an earlier file, by path, has: their outputs would be one file. (path, stem, twin)"""
+    found = repeats(files.select(F.col(path).alias("path"), stem(F.col(path)).alias("stem")), ["stem"], ["path"])
+    return found.select("path", "stem", F.col("first.path").alias("twin"))
+
+
 def missing_numbers(rows: DataFrame, number: str, first: int = 1, last: int | None = None) -> DataFrame:
     """Numbers from ``first`` to ``last`` (by default the greatest) that do not occur: (number)."""
     seen = rows.select(F.col(number).cast("bigint").alias("number")).where("number IS NOT NULL").distinct()
@@ -41,15 +63,18 @@ def missing_numbers(rows: DataFrame, number: str, first: int = 1, last: int | No
 def missing_runs(rows: DataFrame, number: str) -> DataFrame:
     """Gaps between numbers that occur: (after, first_missing, n_missing), without making the missing numbers.
 
-    Neighbours are found within buckets of 65,536 numbers, and across them by the buckets' ends, so no window spans
-    the whole table.
+    Neighbours are found within buckets of 65,536 numbers, and across them by the buckets' ends, level by level: four
+    levels hold all numbers of 64 bits, so no window spans the whole table.
     """
-    seen = rows.select(F.col(number).cast("bigint").alias("number")).where("number IS NOT NULL").distinct()
-    bucketed = seen.withColumn("bucket", F.shiftright("number", 16))
-    inside = bucketed.withColumn("next", F.lead("number").over(Window.partitionBy("bucket").orderBy("number")))
-    ends = bucketed.groupBy("bucket").agg(F.max("number").alias("number"), F.min("number").alias("least"))
-    step = ends.withColumn("next", F.lead("least").over(Window.partitionBy(F.shiftright("bucket", 16)).orderBy("bucket"))).select("number", "next")
-    gaps = inside.where("next IS NOT NULL").select("number", "next").union(step.where("next IS NOT NULL"))
+    level = rows.select(F.col(number).cast("bigint").alias("least")).where("least IS NOT NULL").distinct().withColumn("most", F.col("least"))
+    steps = []
+    for shift in (16, 32, 48, 63):
+        bucket = F.shiftright("least", shift) if shift < 63 else F.lit(0)
+        marked = level.withColumn("bucket", bucket)
+        following = F.lead("least").over(Window.partitionBy("bucket").orderBy("least"))
+        steps.append(marked.select(F.col("most").alias("number"), following.alias("next")).where("next IS NOT NULL"))
+        level = marked.groupBy("bucket").agg(F.min("least").alias("least"), F.max("most").alias("most")).drop("bucket")
+    gaps = reduce(DataFrame.union, steps)
     return gaps.where("next > number + 1").select(F.col("number").alias("after"), (F.col("number") + 1).alias("first_missing"), (F.col("next") - F.col("number") - 1).alias("n_missing"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import codepoint_label, escaped_context, unicode_escape
+from ..functions.scalars import codepoint_label, unicode_escape
 from ..functions.unicode import SPACE, chars, is_arabic, is_mark, is_numeric, is_space
 from . import rules
 
@@ -39,23 +39,44 @@ def first_contexts(segments: DataFrame, most: int = 12, radius: int = 8) -> Data
     Ranks are limited within each task before anything is shuffled (Spark's partial window limit): what is dealt is
     bounded by characters, tasks and ``most``.
     """
-    rows = segments.select("doc_id", "paragraph", F.posexplode(F.split("text", "")).alias("pos", "ch"), "text").where("ch <> ''")
+    rows = segments.select("doc_id", "paragraph", F.posexplode(F.split("text", "")).alias("pos", "ch")).where("ch <> ''")
+    rank = F.row_number().over(Window.partitionBy("ch").orderBy("doc_id", "paragraph", "pos"))
+    ranked = rows.withColumn("rank", rank).where(F.col("rank") <= most)
+    # contexts are cut for what is left, some rows for each character, which meets the texts again
+    found = segments.select("doc_id", "paragraph", "text").join(ranked, ["doc_id", "paragraph"])
     first = F.greatest(F.lit(0), F.col("pos") - radius)
     context = F.substring("text", first + 1, F.col("pos") + radius + 1 - first)
-    rank = F.row_number().over(Window.partitionBy("ch").orderBy("doc_id", "paragraph", "pos"))
-    ranked = rows.select("ch", "doc_id", "paragraph", "pos", context.alias("context")).withColumn("rank", rank).where(F.col("rank") <= most)
-    return ranked.select(codepoint_label(F.col("ch")).alias("codepoint"), "rank", "doc_id", "paragraph", "pos", unicode_escape(F.col("context")).alias("context"))
+    return found.select(codepoint_label(F.col("ch")).alias("codepoint"), "rank", "doc_id", "paragraph", "pos", unicode_escape(context).alias("context"))
 
 
 def occurrences(segments: DataFrame) -> DataFrame:
     """Characters that a rule triggers on, are special, or are unknown, with their contexts; the rest are left out
     before anything is exploded."""
+    cs = chars(F.col("text"))
     found = F.filter(
-        F.transform(chars(F.col("text")), lambda c, i: F.struct(i.alias("pos"), c.alias("ch"), rules.is_trigger(c).alias("trigger"), F.ascii(c).isin(*rules.SPECIAL).alias("special"), (is_arabic(c) & ~rules.is_known(c)).alias("unknown"))),
+        F.transform(cs, lambda c, i: F.struct(i.alias("pos"), c.alias("ch"), *(k.alias(n) for n, k in kinds_of(c).items()))),
         lambda x: x["trigger"] | x["special"] | x["unknown"],
     )
-    rows = segments.select("doc_id", "paragraph", "segment", "text", F.explode(found).alias("o"))
-    return rows.select("doc_id", "paragraph", "segment", "o.*", escaped_context(F.col("text"), F.col("o.pos"), F.col("o.pos") + 1).alias("context"))
+    # contexts are cut here, so that no row carries its whole text along
+    cut = lambda x: F.array_join(F.slice("__cs", F.greatest(F.lit(0), x["pos"] - 14) + 1, F.least(x["pos"], F.lit(14)) + 15), "")
+    with_context = F.transform("__found", lambda x: F.struct(*(x[n].alias(n) for n in ("pos", "ch", "trigger", "special", "unknown")), cut(x).alias("context")))
+    rows = segments.select("doc_id", "paragraph", "segment", cs.alias("__cs"), found.alias("__found")).where(F.size("__found") > 0)
+    rows = rows.select("doc_id", "paragraph", "segment", F.explode(with_context).alias("o"))
+    return rows.select("doc_id", "paragraph", "segment", "o.pos", "o.ch", "o.trigger", "o.special", "o.unknown", unicode_escape(F.col("o.context")).alias("context"))
+
+
+def kinds_of(ch: Column) -> dict[str, Column]:
+    """What makes a character an occurrence; it depends on the character alone."""
+    return {"trigger": rules.is_trigger(ch), "special": F.ascii(ch).isin(*rules.SPECIAL), "unknown": is_arabic(ch) & ~rules.is_known(ch)}
+
+
+def kind_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Occurrences by kind and code point: (kind, codepoint, n). Characters are counted first, then some hundred of
+    them are told apart."""
+    counts = docs.select(F.explode(chars(F.col(text))).alias("ch")).groupBy("ch").agg(F.count("*").alias("n"))
+    named = F.array(*(F.when(c, F.lit(k)) for k, c in kinds_of(F.col("ch")).items()))
+    kinds = counts.select(F.explode(F.filter(named, lambda k: k.isNotNull())).alias("kind"), codepoint_label(F.col("ch")).alias("codepoint"), "n")
+    return kinds
 
 
 def occurrence_counts(found: DataFrame) -> DataFrame:
@@ -66,19 +87,25 @@ def occurrence_counts(found: DataFrame) -> DataFrame:
 
 def stop_sequences(segments: DataFrame) -> DataFrame:
     """All places, overlapping ones too, at which a stop sequence stands: doc_id, paragraph, segment, pos, sequence."""
-    text = F.col("text")
-    sequences = ["".join(map(chr, s)) for s in rules.DELETE_SEQUENCES]
-    found = F.concat(*(_places(text, s) for s in sequences))
-    rows = segments.where(F.length("text") > 0).select("doc_id", "paragraph", "segment", F.explode(found).alias("f"))
-    return rows.select("doc_id", "paragraph", "segment", "f.pos", "f.sequence")
+    sequences = ["".join(map(chr, x)) for x in rules.DELETE_SEQUENCES]
+    held = F.lit(False)
+    for x in sequences:
+        held = held | F.col("text").contains(x)
+    split = segments.where(held).select("doc_id", "paragraph", "segment", chars(F.col("text")).alias("__cs"))
+    found = F.concat(*(_places(F.col("__cs"), x) for x in sequences))
+    return split.select("doc_id", "paragraph", "segment", F.explode(found).alias("f")).select("doc_id", "paragraph", "segment", "f.pos", "f.sequence")
+
+
+def _places(cs: Column, sequence: str) -> Column:
+    """Positions (from 0) at which a sequence stands in an array of characters."""
 
+    def here(c: Column, i: Column) -> Column:
+        same = c == sequence[0]
+        for k, x in enumerate(sequence[1:], 1):
+            same = same & (F.get(cs, i + k) == x)
+        return F.when(same, F.struct(i.alias("pos"), F.lit(sequence).alias("sequence")))
 
-def _places(text: Column, sequence: str) -> Column:
-    """Positions (from 0) of a sequence whose first character does not recur in it: the lengths of what stands between."""
-    parts = F.transform(F.split(text, sequence, -1), F.length)
-    step = len(sequence)
-    ends = F.aggregate(parts, F.array().cast("array<int>"), lambda acc, n: F.concat(acc, F.array(n + F.when(F.size(acc) > 0, F.element_at(acc, -1) + step).otherwise(0))))
-    return F.transform(F.slice(ends, F.lit(1), F.size(ends) - 1), lambda at: F.struct(at.alias("pos"), F.lit(sequence).alias("sequence")))
+    return F.filter(F.transform(cs, here), lambda x: x.isNotNull())
 
 
 def matched_labels(found: DataFrame, stops: DataFrame) -> DataFrame:
@@ -89,6 +116,14 @@ def matched_labels(found: DataFrame, stops: DataFrame) -> DataFrame:
     return single.union(numeric).union(stops.select("doc_id", names[F.col("sequence")].alias("label"))).distinct()
 
 
+def text_labels(segments: DataFrame) -> DataFrame:
+    """(doc_id, label) like ``matched_labels``, from the distinct characters of each text: each is told apart once."""
+    once = segments.select("doc_id", F.explode(F.array_distinct(chars(F.col("text")))).alias("ch")).distinct()
+    named = F.filter(F.array(F.when(rules.is_trigger(F.col("ch")), codepoint_label(F.col("ch"))), F.when(is_numeric(F.col("ch")), F.lit(rules.NUMERIC_LABEL))), lambda x: x.isNotNull())
+    stops = F.filter(F.array(*(F.when(F.col("text").contains("".join(map(chr, s))), F.lit(rules.label(s))) for s in rules.DELETE_SEQUENCES)), lambda x: x.isNotNull())
+    return once.select("doc_id", F.explode(named).alias("label")).union(segments.select("doc_id", F.explode(stops).alias("label"))).distinct()
+
+
 def zero_match(labels: DataFrame, matched: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, label): effective rules that a document did not match. Labels are some fifty rows."""
     return docs.select("doc_id").distinct().crossJoin(F.broadcast(labels)).join(matched, ["doc_id", "label"], "left_anti")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.unicode import SPACE, has_arabic
+from ..functions.unicode import ARABIC_CLASS, SPACE, chars, has_arabic
 
 KEYS = ("doc_id", "paragraph", "segment")
 
@@ -24,12 +24,16 @@ def project(text: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, text: Column | None = None, key: str = "doc_id") -> DataFrame:
-    """Lines of documents as paragraphs of one segment each: doc_id, paragraph, segment, text.
+    """Lines of documents as paragraphs of one segment each: doc_id, paragraph, segment, text, surah_start.
 
-    A null text has no paragraph; an empty line is an empty paragraph.
+    A null text has no paragraph; an empty line is an empty paragraph. The start is the line of the text's first Arabic
+    character, counted before lines are exploded: nothing is shuffled.
     """
-    lines = F.split(F.col("text") if text is None else text, "\n")
-    return docs.select(F.col(key).alias("doc_id"), F.posexplode(lines).alias("paragraph", "text")).select("doc_id", "paragraph", F.lit(0).alias("segment"), "text")
+    own = docs.select(F.col(key).alias("doc_id"), (F.col("text") if text is None else text).alias("__text"))
+    at = F.regexp_instr("__text", F.lit(ARABIC_CLASS))
+    first = F.when(at > 0, F.size(F.split(F.substring("__text", F.lit(1), at), "\n")) - 1)
+    rows = own.select("doc_id", first.alias("__first"), F.posexplode(F.split("__text", "\n")).alias("paragraph", "text"))
+    return rows.select("doc_id", "paragraph", F.lit(0).alias("segment"), "text", F.coalesce(F.col("paragraph") == F.col("__first"), F.lit(False)).alias("surah_start"))
 
 
 def mark_starts(segments: DataFrame) -> DataFrame:
@@ -54,8 +58,8 @@ def segments_of_runs(runs: DataFrame) -> DataFrame:
 
     ``runs``: doc_id, part, paragraph, run, text, target, is_break. A stretch is cut by a break run, whose own text
     opens the next one, and by a run that is no target and not empty; empty runs cut nothing. Returns doc_id, part,
-    paragraph, segment (numbered within the paragraph), text, runs (number and length of each), surah_start (the
-    first segment of the main part with an Arabic character).
+    paragraph, segment (numbered within the paragraph), text, runs (number and length of each, and positive, lexical
+    and nodes where ``runs`` has them), surah_start (the first segment of the main part with an Arabic character).
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     wall = ~F.col("target") & (F.length(text) > 0)
@@ -63,9 +67,10 @@ def segments_of_runs(runs: DataFrame) -> DataFrame:
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = runs.withColumn("__cut", F.sum((wall | F.col("is_break")).cast("int")).over(before))
     own = cuts.where(F.col("target") & (F.length(text) > 0))
-    rows = own.groupBy("doc_id", "part", "paragraph", "__cut").agg(F.array_sort(F.collect_list(F.struct("run", text.alias("text")))).alias("pieces"))
+    extra = [c for c in ("positive", "lexical", "nodes") if c in runs.columns]
+    rows = own.groupBy("doc_id", "part", "paragraph", "__cut").agg(F.array_sort(F.collect_list(F.struct("run", text.alias("text"), *extra))).alias("pieces"))
     joined = F.array_join(F.transform("pieces", lambda p: p["text"]), "")
-    lengths = F.transform("pieces", lambda p: F.struct(p["run"].alias("run"), F.length(p["text"]).alias("length")))
+    lengths = F.transform("pieces", lambda p: F.struct(p["run"].alias("run"), F.length(p["text"]).alias("length"), *(p[c].alias(c) for c in extra)))
     number = F.row_number().over(Window.partitionBy("doc_id", "part", "paragraph").orderBy("__cut")) - 1
     out = rows.select("doc_id", "part", "paragraph", number.alias("segment"), joined.alias("text"), lengths.alias("runs"))
     main = (F.col("part") == "word/document.xml") & has_arabic(F.col("text"))
@@ -78,10 +83,15 @@ def segments_of_runs(runs: DataFrame) -> DataFrame:
 def characters(segments: DataFrame, keys: tuple[str, ...] = KEYS, partitions: int | None = None) -> DataFrame:
     """One row per character: all columns but ``text``, and ``pos`` (from 0) and ``ch``.
 
-    Dealt by ``keys`` first, so that windows over segments need no further shuffle.
+    Dealt by ``keys`` first, so that windows over segments need no further shuffle. Where ``runs`` has them, each
+    character gets its run's number, positive and lexical, by its place among the runs' lengths.
     """
     dealt = segments.repartition(*([partitions] if partitions else []), *keys)
-    rest = [c for c in segments.columns if c != "text"]
+    rest = [c for c in segments.columns if c not in ("text", "runs")]
+    if "runs" in segments.columns:
+        of_run = lambda r: F.array_repeat(F.struct(r["run"].alias("run"), r["positive"].alias("positive"), r["lexical"].alias("lexical")), r["length"])
+        both = F.arrays_zip(chars(F.col("text")).alias("ch"), F.flatten(F.transform("runs", of_run)).alias("r"))
+        return dealt.select(*rest, F.posexplode(both).alias("pos", "c")).select(*rest, "pos", "c.ch", "c.r.run", "c.r.positive", "c.r.lexical")
     return dealt.select(*rest, F.posexplode(F.split("text", "")).alias("pos", "ch")).where("ch <> ''")
 
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import codepoint_label, unicode_escape
 from ..functions.unicode import ARABIC_BLOCKS, ARABIC_ELSEWHERE
 from . import rules
 from .segments import KEYS
@@ -72,6 +73,7 @@ class Lineage:
     kept: np.ndarray
     repaired: np.ndarray
     stop: np.ndarray
+    unresolved: np.ndarray
 
 
 def _initial_form(text: str) -> tuple[int, int]:
@@ -86,9 +88,15 @@ def _initial_form(text: str) -> tuple[int, int]:
     return (start, end) if bare in rules.INITIAL_FORMS else (-1, -1)
 
 
-def _decorated(text: str, at: int) -> bool:
-    letters = "".join(c for c in text[:at] + text[at + 1 :] if c not in SPACES and unicodedata.category(c)[0] != "M")
-    return any(s in letters for s in rules.BISMILLAH_SKELETONS)
+def _decorated(letters: np.ndarray, cp: np.ndarray, at: int) -> bool:
+    """Whether the ligature at row ``at`` repeats an opening formula that its segment spells out: whether the formula
+    stands in the segment's ``letters`` (rows that are neither marks nor white space) once the ligature is left out."""
+    rest = cp[letters[letters != at]].astype("<u4")
+    for formula in rules.BISMILLAH_SKELETONS:
+        wanted = np.frombuffer(formula.encode("utf-32-le"), "<u4")
+        if len(rest) >= len(wanted) and (np.lib.stride_tricks.sliding_window_view(rest, len(wanted)) == wanted).all(1).any():
+            return True
+    return False
 
 
 def _last(where: np.ndarray, strict: bool = False) -> np.ndarray:
@@ -103,9 +111,19 @@ def _next(where: np.ndarray, strict: bool = False) -> np.ndarray:
     return np.where(back < 0, n, n - 1 - back)
 
 
-def transduce_batch(texts: list[str], starts: list[bool], proven: np.ndarray | None = None) -> Lineage:
-    """All texts at once. ``starts``: whether a text may open with an initial form. ``proven``: by character, whether
-    it belongs to a proven stop sign."""
+def _any_of_next(flags: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """For each place, whether any of the next ``length`` flags is set."""
+    through = np.concatenate([[0], np.cumsum(flags)])
+    return through[at + length] > through[at]
+
+
+def transduce_batch(texts: list[str], starts: list[bool], positive: np.ndarray | None = None, lexical: np.ndarray | None = None) -> Lineage:
+    """All texts at once. ``starts``: whether a text may open with an initial form. ``positive``, ``lexical``: by
+    character, whether its run says that a stop sequence is a sign, or that it is a word; without them all are words.
+
+    A stop sequence is proven, and goes, if any of its characters is positive; it is a word if all are lexical, and
+    unresolved otherwise.
+    """
     k = _classes()
     lengths = np.array([len(t) for t in texts], np.int64)
     cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -147,11 +165,19 @@ def transduce_batch(texts: list[str], starts: list[bool], proven: np.ndarray | N
     rule[damma] = np.where(after == alef, 9, 10)[damma]
     rule[cp == SMALL_MADDAH] = 11
     rule[(cp == alef) & (before == INVERTED_DAMMA)] = 12
+    solid = np.flatnonzero(~mark & ~k["space"][cp]) if (cp == rules.GUARDED_DELETE).any() else np.zeros(0, np.int64)
     for at in np.flatnonzero(cp == rules.GUARDED_DELETE).tolist():
-        if _decorated(texts[segment[at]], int(pos[at])):
+        own = solid[np.searchsorted(solid, begin[at]) : np.searchsorted(solid, begin[at] + lengths[segment[at]])]
+        if _decorated(own, cp, at):
             rule[at] = 2
-    if proven is not None:
-        rule[proven] = 1
+    unresolved = np.zeros(n, bool)
+    if positive is not None and n:
+        at = np.flatnonzero(stop)
+        proven = _any_of_next(positive, at, stop[at])
+        unresolved[at] = ~proven & _any_of_next(~lexical, at, stop[at])
+        for length in (2, 3):
+            rows = at[proven & (stop[at] == length)]
+            rule[(rows[:, None] + np.arange(length)).ravel()] = 1
     out = np.where(rule == 0, cp, alef)
     out[rule == 3], out[rule == 4] = rules.OVERRIDES[0x06CC], rules.OVERRIDES[0x065E]
     for i, v in enumerate(PLAIN.values()):
@@ -211,7 +237,7 @@ def transduce_batch(texts: list[str], starts: list[bool], proven: np.ndarray | N
             opens = np.ones(len(gap), bool)
             opens[1:] = (rank[a[gap[1:]]] != rank[a[gap[:-1]]]) | (segment[gap[1:]] != segment[gap[:-1]])
             repaired[gap[opens]] = True
-    return Lineage(cp, segment, pos, rule, out, introduced, np.where(out_id >= 0, out_id - begin, -1) if n else out_id, merged, deleted, nbsp, kept, repaired, stop)
+    return Lineage(cp, segment, pos, rule, out, introduced, np.where(out_id >= 0, out_id - begin, -1) if n else out_id, merged, deleted, nbsp, kept, repaired, stop, unresolved)
 
 
 def output_texts(x: Lineage, n: int) -> list[str]:
@@ -232,11 +258,59 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         at = end
 
 
+def run_flags(runs_: list[list[dict]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By character of all segments: whether its run is positive, is lexical, and the run's number."""
+    flat = [x for own in runs_ for x in own or ()]
+    lengths = np.array([x["length"] for x in flat], np.int64)
+    spread = lambda name, kind: np.repeat(np.array([x[name] for x in flat], kind), lengths)
+    return spread("positive", bool), spread("lexical", bool), spread("run", np.int64)
+
+
+def _pieces(x: Lineage, runs_: list[list[dict]]) -> list[list[dict]]:
+    """What is written back: for each run of each segment its number and the new text of each of its text nodes. A
+    character goes to the node of the source character that it stands for; a space that was put in, to that of the
+    first deleted one."""
+    shown = x.kept | x.repaired
+    codes = np.where(x.repaired, 32, x.out)
+    out, at = [], 0
+    for own in runs_:
+        pieces = []
+        for r in own or ():
+            texts = []
+            for length in r["nodes"]:
+                here = slice(at, at + length)
+                texts.append(codes[here][shown[here]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"))
+                at += length
+            pieces.append({"run": r["run"], "texts": texts})
+        out.append(pieces)
+    return out
+
+
+def _blockers(x: Lineage, n: int) -> list[list[dict]]:
+    found: list[list[dict]] = [[] for _ in range(n)]
+    for at in np.flatnonzero(x.unresolved).tolist():
+        found[x.segment[at]].append({"type": "unresolved_stop_sequence", "pos": int(x.pos[at])})
+    for at in np.flatnonzero((x.cp == rules.GUARDED_DELETE) & (x.rule != 2)).tolist():
+        found[x.segment[at]].append({"type": "sole_or_unproven_bismillah_ligature", "pos": int(x.pos[at])})
+    return [sorted(f, key=lambda b: b["pos"]) for f in found]
+
+
+#: Columns that runs add to those of ``transduce_texts``.
+RUN_COLUMNS = "pieces array<struct<run:int,texts:array<string>>>, blockers array<struct<type:string,pos:int>>, cross_run map<string,bigint>, again string"
+
+
 def transduce_texts(segments: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """One row per segment: ``keys``, text, input_count, output_count, word_boundary_repairs,
     unapproved_duplicate_alef, lineage_complete (every character stands, went into another, or fell to a rule), and
-    decisions (a map from rule to count). A null text counts as empty."""
-    own = segments.select(*keys, F.coalesce("text", F.lit("")).alias("text"), F.coalesce("surah_start", F.lit(False)).alias("surah_start"))
+    decisions (a map from rule to count). A null text counts as empty.
+
+    Segments with a column ``runs`` (run, length, nodes, positive, lexical; see ``segments_of_runs``) have their stop
+    sequences told apart, and four more columns: pieces (the new texts of each run's text nodes), blockers (what no
+    rule decides, with its place), cross_run (decisions whose evidence lies in several runs) and again (the output's
+    own output, which equals it if the rules are idempotent).
+    """
+    with_runs = "runs" in segments.columns
+    own = segments.select(*keys, F.coalesce("text", F.lit("")).alias("text"), F.coalesce("surah_start", F.lit(False)).alias("surah_start"), *(["runs"] if with_runs else []))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[: len(keys)])
     counts = ("input_count", "output_count", "word_boundary_repairs", "unapproved_duplicate_alef")
 
@@ -244,8 +318,14 @@ def transduce_texts(segments: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFr
         for batch in batches:
             texts, starts = batch.column("text").to_pylist(), batch.column("surah_start").to_pylist()
             for at, end in _chunks(texts):
-                x = transduce_batch(texts[at:end], starts[at:end])
                 n = end - at
+                more, names = [], []
+                if with_runs:
+                    runs_ = batch.column("runs").slice(at, n).to_pylist()
+                    positive, lexical, number = run_flags(runs_)
+                    x = transduce_batch(texts[at:end], starts[at:end], positive, lexical)
+                else:
+                    x = transduce_batch(texts[at:end], starts[at:end])
                 per = lambda mask, x=x, n=n: pa.array(np.bincount(x.segment[mask], minlength=n))
                 took = np.zeros(len(x.cp), bool)
                 base = np.arange(len(x.cp)) - x.pos
@@ -261,9 +341,41 @@ def transduce_texts(segments: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFr
                 lost = ~(x.kept | x.merged | (x.rule > 0) | x.deleted)
                 complete = pa.array(np.bincount(x.segment[lost], minlength=n) == 0)
                 maps = pa.array([sorted(d.items()) for d in _decisions(x, n)], pa.map_(pa.string(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(len(keys))), pa.array(output_texts(x, n), pa.string()), *columns, complete, maps], names=[*keys, "text", *counts, "lineage_complete", "decisions"])
+                new = output_texts(x, n)
+                if with_runs:
+                    names = ["pieces", "blockers", "cross_run", "again"]
+                    again = output_texts(transduce_batch(new, starts[at:end]), n)
+                    crossed = [sorted(d.items()) for d in _crossed(x, number, n)]
+                    kinds = (pa.list_(pa.struct([("run", pa.int32()), ("texts", pa.list_(pa.string()))])), pa.list_(pa.struct([("type", pa.string()), ("pos", pa.int32())])), pa.map_(pa.string(), pa.int64()), pa.string())
+                    more = [pa.array(v, t) for v, t in zip((_pieces(x, runs_), _blockers(x, n), crossed, again), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(len(keys))), pa.array(new, pa.string()), *columns, complete, maps, *more], names=[*keys, "text", *counts, "lineage_complete", "decisions", *names])
+
+    return own.mapInArrow(run, f"{schema}, text string, {', '.join(f'{c} bigint' for c in counts)}, lineage_complete boolean, decisions map<string,bigint>" + (f", {RUN_COLUMNS}" if with_runs else ""))
+
+
+def _crossed(x: Lineage, number: np.ndarray, n: int) -> list[dict[str, int]]:
+    """By segment, decisions on special characters and stop sequences whose characters lie in several runs."""
+    found: list[dict[str, int]] = [{} for _ in range(n)]
+    total = len(x.cp)
+    base = _last(~_classes()["mark"][x.cp], strict=True)
+    for at in np.flatnonzero(np.isin(x.cp, rules.SPECIAL) & (x.rule > 0)).tolist():
+        near = {int(number[at])}
+        if x.rule[at] in (5, 6, 7, 8) and base[at] >= 0 and x.segment[base[at]] == x.segment[at]:
+            near.add(int(number[base[at]]))
+        if x.cp[at] in rules.CONTEXTUAL and at + 1 < total and x.segment[at + 1] == x.segment[at] and x.cp[at + 1] == ord(ALEF):
+            near.add(int(number[at + 1]))
+        if len(near) > 1:
+            d, name = found[x.segment[at]], ALL_RULES[x.rule[at]]
+            d[name] = d.get(name, 0) + 1
+    for at in np.flatnonzero(x.stop).tolist():
+        if number[at] != number[at + x.stop[at] - 1]:
+            d, name = found[x.segment[at]], f"stop_sequence:{_stop_class(x, at)}"
+            d[name] = d.get(name, 0) + 1
+    return found
+
 
-    return own.mapInArrow(run, f"{schema}, text string, {', '.join(f'{c} bigint' for c in counts)}, lineage_complete boolean, decisions map<string,bigint>")
+def _stop_class(x: Lineage, at: int) -> str:
+    return "proven_stop_sign" if x.rule[at] == 1 else "unresolved" if x.unresolved[at] else "lexical"
 
 
 def rule3_names(x: Lineage) -> np.ndarray:
@@ -297,9 +409,10 @@ def _decisions(x: Lineage, n: int) -> list[dict[str, int]]:
     add(x.rule == 2, "bismillah:decorative_duplicate")
     add(x.merged, "C6_new_duplicate_Alef_collapse")
     add(x.repaired, "C8_word_boundary_repair")
-    lexical, proven = (x.stop > 0) & (x.rule != 1), (x.stop > 0) & (x.rule == 1)
-    add(lexical, "stop_sequence:lexical")
+    proven = (x.stop > 0) & (x.rule == 1)
+    add((x.stop > 0) & ~proven & ~x.unresolved, "stop_sequence:lexical")
     add(proven, "stop_sequence:proven_stop_sign")
+    add(x.unresolved, "stop_sequence:unresolved")
     add(x.nbsp, "C8_numeric_label_NBSP_cleanup")
     rest = x.deleted & ~x.nbsp
     for c in np.unique(x.out[rest]).tolist():
@@ -309,25 +422,50 @@ def _decisions(x: Lineage, n: int) -> list[dict[str, int]]:
 
 
 def transduce_events(segments: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """One row per source character that a rule touched: ``keys``, pos, source, rule, merged, rule3, repaired, out_id."""
-    own = segments.select(*keys, F.coalesce("text", F.lit("")).alias("text"), F.coalesce("surah_start", F.lit(False)).alias("surah_start"))
+    """One row per source character that a rule touched: ``keys``, pos, source, rule, merged, rule3, repaired, out_id,
+    context (escaped, fourteen characters to both sides), and, of segments with ``runs``, the character's run."""
+    with_runs = "runs" in segments.columns
+    own = segments.select(*keys, F.coalesce("text", F.lit("")).alias("text"), F.coalesce("surah_start", F.lit(False)).alias("surah_start"), *(["runs"] if with_runs else []))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[: len(keys)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, starts = batch.column("text").to_pylist(), batch.column("surah_start").to_pylist()
             for at, end in _chunks(texts):
-                x = transduce_batch(texts[at:end], starts[at:end])
+                positive = lexical = number = None
+                if with_runs:
+                    positive, lexical, number = run_flags(batch.column("runs").slice(at, end - at).to_pylist())
+                x = transduce_batch(texts[at:end], starts[at:end], positive, lexical)
                 hit = np.flatnonzero((x.rule > 0) | x.merged | x.deleted | x.repaired)
                 rows = pa.array(x.segment[hit] + at)
                 third = rule3_names(x)[hit]
+                context = [texts[at + s][max(0, p - 14) : p + 15].encode("unicode_escape").decode("ascii") for s, p in zip(x.segment[hit].tolist(), x.pos[hit].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).take(rows) for i in range(len(keys))), pa.array(x.pos[hit].astype(np.int32)), pa.array([chr(c) for c in x.cp[hit].tolist()]), pa.array([ALL_RULES[r] or None for r in x.rule[hit].tolist()], pa.string()),
-                     pa.array(x.merged[hit]), pa.array([t or None for t in third], pa.string()), pa.array(x.repaired[hit]), pa.array([v if v >= 0 else None for v in x.out_id[hit].tolist()], pa.int32())],
-                    names=[*keys, "pos", "source", "rule", "merged", "rule3", "repaired", "out_id"],
+                    [*(batch.column(i).take(rows) for i in range(len(keys))), pa.array(x.pos[hit].astype(np.int32)), pa.array([chr(c) for c in x.cp[hit].tolist()], pa.string()), pa.array([ALL_RULES[r] or None for r in x.rule[hit].tolist()], pa.string()),
+                     pa.array(x.merged[hit]), pa.array([t or None for t in third], pa.string()), pa.array(x.repaired[hit]), pa.array([v if v >= 0 else None for v in x.out_id[hit].tolist()], pa.int32()),
+                     pa.array(context, pa.string()), pa.nulls(len(hit), pa.int32()) if number is None else pa.array(number[hit].astype(np.int32))],
+                    names=[*keys, "pos", "source", "rule", "merged", "rule3", "repaired", "out_id", "context", "run"],
                 )
 
-    return own.mapInArrow(run, f"{schema}, pos int, source string, rule string, merged boolean, rule3 string, repaired boolean, out_id int")
+    return own.mapInArrow(run, f"{schema}, pos int, source string, rule string, merged boolean, rule3 string, repaired boolean, out_id int, context string, run int")
+
+
+def event_records(touched: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Events of ``transduce_events``, one for each thing done to a character: ``keys``, pos, rule, phase, action,
+    source_codepoint, source, context and run. A character may have several: transformed, then merged or deleted."""
+    rule1 = F.col("rule")
+    transform = F.struct(
+        rule1.alias("rule"), F.when(rule1.startswith("simple"), "phase2").otherwise("phase1").alias("phase"),
+        F.when(rule1.isin("E5_stop_sequence", "E6_decorative_bismillah"), "DELETE").otherwise("TRANSFORM").alias("action"),
+    )
+    kinds = F.array(
+        F.when(rule1.isNotNull() & (rule1 != "consumed"), transform),
+        F.when(F.col("merged"), F.struct(F.lit("C6_new_duplicate_Alef_collapse").alias("rule"), F.lit("phase2").alias("phase"), F.lit("COLLAPSE").alias("action"))),
+        F.when(F.col("rule3").isNotNull(), F.struct(F.col("rule3").alias("rule"), F.lit("phase3").alias("phase"), F.when(F.col("rule3").startswith("C8"), "DELETE_BOUNDARY").otherwise("DELETE").alias("action"))),
+        F.when(F.col("repaired"), F.struct(F.lit("C8_word_boundary_repair").alias("rule"), F.lit("phase4").alias("phase"), F.lit("INSERT_BOUNDARY").alias("action"))),
+    )
+    rows = touched.select(*keys, "pos", "source", "context", "run", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("e"))
+    return rows.select(*keys, "pos", "e.rule", "e.phase", "e.action", codepoint_label(F.col("source")).alias("source_codepoint"), unicode_escape(F.col("source")).alias("source"), "context", "run")
 
 
 def decisions(texts: DataFrame) -> DataFrame:

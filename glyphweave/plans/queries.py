@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as sc
 from ..functions.unicode import SPACE
 from ..operators import assembly, audit, gates, rules, styles, transducer, transducer_arrays
-from ..operators.segments import LATIN, PROJECTION, first_word, islands, mark_starts, paragraphs, project
+from ..operators.segments import LATIN, PROJECTION, first_word, islands, paragraphs, project
 from . import normalizer as tn
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,9 +44,21 @@ NUMBERED = " ١ "
 WIDE_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 
 
+#: Bytes of a table for each core below which its rows are dealt out before long work on texts.
+SMALL = 64 << 20
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """A small table dealt out evenly: it may lie in one row group, which is one task however many cores there are. A
+    table that gives every core enough to read stays as it is, without a shuffle."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if size < SMALL * cores else rows
+
+
 def projected(docs: DataFrame) -> DataFrame:
     """Lines as segments; a comma and space become a no-break space and a numeric label."""
-    return mark_starts(paragraphs(docs.select("doc_id", "text"), F.replace(project(F.col("text")), F.lit(", "), F.lit(NUMBERED))))
+    return paragraphs(spread(docs.select("doc_id", "text")), F.replace(project(F.col("text")), F.lit(", "), F.lit(NUMBERED)))
 
 
 _PROJECT = f"translate(lower(text), '{LATIN}', '{PROJECTION}')"
@@ -141,18 +153,18 @@ def touched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT printf('U+%04X', unicode(ch)) AS codepoint, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents WHERE text <> '') GROUP BY 1")
 def codepoint_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.histogram(table(spark, sf_dir, "documents")).select("codepoint", "n")
+    return audit.histogram(spread(table(spark, sf_dir, "documents").select("text"))).select("codepoint", "n")
 
 
 @query("SELECT printf('U+%04X', unicode(ch)) AS codepoint, count(*) AS n, count(*) FILTER (lang = 'en') AS n_target, count(*) FILTER (lang <> 'en') AS n_other FROM (SELECT lang, unnest(string_split(text, '')) AS ch FROM documents WHERE text <> '') GROUP BY 1")
 def codepoint_histogram_by_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.histogram(table(spark, sf_dir, "documents"), target=F.col("lang") == "en").drop("escaped")
+    return audit.histogram(spread(table(spark, sf_dir, "documents").select("lang", "text")), target=F.col("lang") == "en").drop("escaped")
 
 
 @query("""SELECT printf('U+%04X', unicode(ch)) AS codepoint, count(*) AS n_texts, string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs, string_agg(DISTINCT source, ',' ORDER BY source) AS sources
           FROM (SELECT DISTINCT doc_id, lang, source, unnest(string_split(text, '')) AS ch FROM documents WHERE text <> '') GROUP BY 1""")
 def codepoint_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.character_sets(table(spark, sf_dir, "documents"), {"langs": F.col("lang"), "sources": F.col("source")})
+    return audit.character_sets(spread(table(spark, sf_dir, "documents").select("lang", "source", "text")), {"langs": F.col("lang"), "sources": F.col("source")})
 
 
 _ESCAPED = "array_to_string(list_transform(string_split({0}, ''), lambda c: CASE WHEN c = chr(9) THEN '\\t' WHEN c = chr(10) THEN '\\n' WHEN c = chr(13) THEN '\\r' WHEN c = '\\' THEN '\\\\' WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN unicode(c) < 256 THEN printf('\\x%02x', unicode(c)) WHEN unicode(c) < 65536 THEN printf('\\u%04x', unicode(c)) ELSE printf('\\U%08x', unicode(c)) END), '')"
@@ -163,7 +175,7 @@ _ESCAPED = "array_to_string(list_transform(string_split({0}, ''), lambda c: CASE
     found AS (SELECT r.*, substring(s.text, greatest(0, pos - 8) + 1, pos + 9 - greatest(0, pos - 8)) AS context FROM ranked r JOIN segs s USING (doc_id, paragraph))
     SELECT printf('U+%04X', unicode(ch)) AS codepoint, rank, doc_id, paragraph, pos, {_ESCAPED.format("context")} AS context FROM found""")
 def first_contexts_per_codepoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.first_contexts(paragraphs(table(spark, sf_dir, "documents")))
+    return audit.first_contexts(paragraphs(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))))
 
 
 _OCCUR = f"""{_K}, occ AS (SELECT doc_id, paragraph, pos, ch, (cp IN ({", ".join(map(str, rules.TRIGGERS))}) OR regexp_matches(ch, '^\\p{{N}}')) AS trigger, cp IN ({", ".join(map(str, rules.SPECIAL))}) AS special,
@@ -172,7 +184,7 @@ _OCCUR = f"""{_K}, occ AS (SELECT doc_id, paragraph, pos, ch, (cp IN ({", ".join
 
 @query(f"""{_OCCUR} SELECT kind, {_U.format("ch")} AS codepoint, count(*) AS n FROM (SELECT ch, unnest([CASE WHEN trigger THEN 'trigger' END, CASE WHEN special THEN 'special' END, CASE WHEN unknown THEN 'unknown' END]) AS kind FROM occ) WHERE kind IS NOT NULL GROUP BY ALL""")
 def occurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.occurrence_counts(audit.occurrences(projected(table(spark, sf_dir, "documents"))))
+    return audit.kind_counts(projected(table(spark, sf_dir, "documents")))
 
 
 @query(f"""{_OCCUR} SELECT o.doc_id, o.paragraph, pos, {_U.format("ch")} AS codepoint, {_ESCAPED.format("substring(s.text, greatest(0, pos - 14) + 1, least(length(s.text), pos + 15) - greatest(0, pos - 14))")} AS context
@@ -201,8 +213,7 @@ _MATCHED = f"""{_OCCUR}, labels(label) AS (VALUES {_LABELS}),
 
 def _matched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
-    segments = projected(docs)
-    return docs, audit.matched_labels(audit.occurrences(segments), audit.stop_sequences(segments))
+    return docs, audit.text_labels(projected(docs))
 
 
 @query(f"{_MATCHED} SELECT d.doc_id, label FROM documents d CROSS JOIN labels WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.doc_id = d.doc_id AND m.label = labels.label)")
@@ -288,7 +299,7 @@ def _t_sql(*expressions: str) -> str:
 
 def _t(spark: SparkSession, sf_dir: str, step: Callable[[Column], Column]) -> DataFrame:
     text = F.translate(project(F.col("text")), "0123456789", WIDE_DIGITS)
-    return table(spark, sf_dir, "documents").select("doc_id", step(text).alias("text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", step(text).alias("text"))
 
 
 @query(_t_sql(*_ONE))
@@ -349,7 +360,7 @@ def t_idempotence_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{_t_after()} SELECT count(*) AS n_paragraphs, sum(length(p.t)) AS n_in, sum(length(d.t)) AS n_out FROM p JOIN done d USING (doc_id)""")
 def t_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.translate(project(F.col("text")), "0123456789", WIDE_DIGITS)
-    rows = table(spark, sf_dir, "documents").select(text.alias("t"))
+    rows = spread(table(spark, sf_dir, "documents").select("text")).select(text.alias("t"))
     return rows.agg(F.count("*").alias("n_paragraphs"), F.sum(F.length("t")).alias("n_in"), F.sum(F.length(tn.normalize(F.col("t")))).alias("n_out"))
 
 
@@ -541,19 +552,16 @@ def natural_sort_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.ordered_concat(rows, ["conv_id"], ["turn"], sc.normalize_text(F.col("text")), marker=marker)
 
 
-@query(r"SELECT page_id, url, try_cast(nullif(coalesce(nullif(regexp_extract(name, '^\s*([0-9]+)', 1), ''), regexp_extract(name, '([0-9]+)', 1)), '') AS BIGINT) AS number FROM (SELECT page_id, url, string_split(url, '/')[-1] AS name FROM pages)")
+@query(r"SELECT page_id, url, try_cast(nullif(coalesce(nullif(regexp_extract(name, '^\s*([0-9]+)', 1), ''), regexp_extract(name, '([0-9]+)', 1)), '') AS DECIMAL(38, 0))::VARCHAR AS number FROM (SELECT page_id, url, string_split(url, '/')[-1] AS name FROM pages)")
 def file_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", sc.file_number(sc.base_name(F.col("url"))).alias("number"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", sc.file_number(sc.base_name(F.col("url"))).cast("string").alias("number"))
 
 
-@query("""SELECT page_id, row_number() OVER (ORDER BY number NULLS LAST, lower(name), page_id) AS place FROM (
-    SELECT page_id, string_split(url, '/')[-1] AS name, try_cast(nullif(regexp_extract(string_split(url, '/')[-1], '([0-9]+)', 1), '') AS BIGINT) AS number FROM pages) ORDER BY place LIMIT 100""")
+@query("""SELECT page_id, coalesce(lpad(number::VARCHAR, 38, '0'), '~') || ' ' || lower(name) AS sort_key FROM (
+    SELECT page_id, string_split(url, '/')[-1] AS name, try_cast(nullif(regexp_extract(string_split(url, '/')[-1], '([0-9]+)', 1), '') AS DECIMAL(38, 0)) AS number FROM pages)""")
 def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = assembly.number_files(table(spark, sf_dir, "pages").select("page_id", "url"), "url")
-    top = rows.orderBy(*assembly.natural_order(), "page_id").limit(100)  # a report of the first hundred
-    from pyspark.sql import Window
-
-    return top.select("page_id", F.row_number().over(Window.orderBy(*assembly.natural_order(), "page_id")).alias("place"))
+    """Every page with its place in natural order as a text; a global rank would need all rows in one task."""
+    return assembly.number_files(table(spark, sf_dir, "pages").select("page_id", "url"), "url").select("page_id", assembly.order_key().alias("sort_key"))
 
 
 @query("""SELECT page_id, i AS item, links[i] AS href, texts[i] AS label FROM (SELECT page_id, links, texts, unnest(range(1, len(links) + 1)) AS i FROM (
