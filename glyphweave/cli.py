@@ -12,8 +12,10 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
 import os
 import sys
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,22 @@ def _publish_all(rows: DataFrame, folder: str) -> None:
     docx.publish(rows.select("path", "content"), folder, overwrite=True)
 
 
+@contextlib.contextmanager
+def kept() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Persists tables for the time of a command; folders may hold other files by the next."""
+    held: list[DataFrame] = []
+
+    def keep(rows: DataFrame) -> DataFrame:
+        held.append(rows.persist())
+        return held[-1]
+
+    try:
+        yield keep
+    finally:
+        for rows in held:
+            rows.unpersist()
+
+
 def run_filter(spark: SparkSession, source: DataFrame, output_dir: str, report_dir: str, audit_only: bool = False, strict: bool = True, overwrite: bool = False, target: str = docx.TARGET_FONT, symbol: str = docx.SYMBOL_FONT) -> int:
     """Reports first; then, if nothing is unknown or unresolved, outputs that pass all gates, and final reports.
 
@@ -76,23 +94,27 @@ def run_filter(spark: SparkSession, source: DataFrame, output_dir: str, report_d
     there = [r.path for r in names.collect() if os.path.exists(os.path.join(output_dir, r.path))]
     if there and not (overwrite or audit_only):
         raise Stop(EXISTS, f"refusing to replace {', '.join(sorted(there))}")
-    source = source.persist()
+    with kept() as keep:
+        return _filter(spark, keep(source), output_dir, report_dir, audit_only, strict, overwrite, target, symbol, keep)
+
+
+def _filter(spark: SparkSession, source: DataFrame, output_dir: str, report_dir: str, audit_only: bool, strict: bool, overwrite: bool, target: str, symbol: str, keep: Callable[[DataFrame], DataFrame]) -> int:
     hashes = source.select(F.col("path").alias("doc_id"), F.sha2("content", 256).alias("sha256"))
-    before = hashes.select(F.col("doc_id").alias("path"), "sha256").persist()
+    before = keep(hashes.select(F.col("doc_id").alias("path"), "sha256"))
     before.count()
     done = documents.transform(source, strict, target, symbol)
-    report = done.report.persist()
-    done = documents.Rewritten(done.files.persist(), done.segments.persist(), report, done.targets.persist())
+    report = keep(done.report)
+    done = documents.Rewritten(keep(done.files), keep(done.segments), report, keep(done.targets))
     runs = documents.marked_runs(source, target, symbol)
-    flights = preflight.preflight(hashes, runs, done.segments, report, documents.joined_text(done.segments)).join(hashes, "doc_id").persist()
-    decisions = documents.decision_counts(report).persist()
+    flights = keep(preflight.preflight(hashes, runs, done.segments, report, documents.joined_text(done.segments)).join(hashes, "doc_id"))
+    decisions = keep(documents.decision_counts(report))
     counts = done.segments.select("doc_id", F.explode(F.split("text", "")).alias("ch")).where("ch <> ''").groupBy("doc_id", "ch").agg(F.count("*").alias("n"))
     triggers = counts.where(rules.is_trigger(F.col("ch"))).select("doc_id", sc.codepoint_label(F.col("ch")).alias("codepoint"), "n")
     zero = audit.zero_match(rules.matchable_labels(spark), audit.text_labels(done.segments), hashes)
     name = lambda ending: F.concat(sc.stem(F.col("doc_id")), F.lit(ending))
     _publish_all(reports.json_reports(flights.join(reports.lists(decisions, "decisions", "rule", "n", "n_cross_run"), "doc_id", "left"), name(".preflight.json")), report_dir)
     _publish_all(reports.preflight_pages(flights, decisions, triggers, zero).select(name(".preflight.md").alias("path"), "content"), report_dir)
-    combined = preflight.combine_preflights(flights).persist()
+    combined = keep(preflight.combine_preflights(flights))
     columns = ["identity", "doc_id", "sha256", "target_characters", "unknown_count", "unresolved_count", "preflight_ok"]
     _publish_all(reports.json_reports(combined, F.lit("combined.preflight.json")), report_dir)
     _publish_all(reports.corpus_page("Before the change", combined, flights, columns).withColumn("path", F.lit("combined.preflight.md")), report_dir)
@@ -100,15 +122,16 @@ def run_filter(spark: SparkSession, source: DataFrame, output_dir: str, report_d
         raise Stop(BLOCKED, "preflight: something is unknown, unresolved or unidentified")
     if audit_only:
         return OK
-    gates = documents.document_gates(source, done, before, target, symbol).persist()
+    gates = keep(documents.document_gates(source, done, before, target, symbol))
     good = gates.where("passed").select(F.col("doc_id").alias("path"))
     outputs = done.files.join(good, "path", "left_semi")
     docx.publish(_outputs(outputs, ".filtered.docx"), output_dir, overwrite)
     hashed = done.files.select(F.col("path").alias("doc_id"), F.sha2("content", 256).alias("output_sha256"))
     finals = flights.select("doc_id", "identity", "unknown_count", F.col("sha256").alias("input_sha256")).join(documents.document_sums(report), "doc_id", "left")
     finals = finals.join(hashed, "doc_id", "left").join(gates.select("doc_id", F.col("passed").alias("automated_pass")), "doc_id", "left")
-    finals = finals.withColumn("visual_qa_complete", F.lit(None).cast("boolean")).persist()
-    _publish_all(reports.json_reports(finals.join(gates, "doc_id").join(reports.lists(decisions, "decisions", "rule", "n", "n_cross_run"), "doc_id", "left"), name(".audit.json")), report_dir)
+    finals = keep(finals.withColumn("visual_qa_complete", F.lit(None).cast("boolean")))
+    listed = gates.select("doc_id", "passed", F.struct(*(c for c in gates.columns if c not in ("doc_id", "passed"))).alias("gates"))
+    _publish_all(reports.json_reports(finals.join(listed, "doc_id").join(reports.lists(decisions, "decisions", "rule", "n", "n_cross_run"), "doc_id", "left"), name(".audit.json")), report_dir)
     _publish_all(reports.final_pages(finals, decisions, gates).select(name(".audit.md").alias("path"), "content"), report_dir)
     _publish_finals(finals, report_dir)
     if gates.where("NOT passed").isEmpty():
@@ -140,24 +163,28 @@ def run_batch(spark: SparkSession, source: DataFrame, **options) -> tuple[int, l
 
 def run_review(spark: SparkSession, report_dir: str, status: str, notes: str) -> int:
     """All final reports of a folder marked as reviewed; the corpus's reports are written anew."""
-    audits = files.read_audits(spark, report_dir)
-    marked = preflight.review(audits, status, notes).drop("visually_reviewed").withColumn("visual_qa_complete", F.lit(True)).persist()
-    if marked.isEmpty():
-        raise Stop(ARGUMENT, "no reports")
-    marked.count()
-    _publish_all(reports.json_reports(marked, F.concat(sc.stem(F.col("doc_id")), F.lit(".audit.json"))), report_dir)
-    _publish_finals(marked, report_dir)
+    with kept() as keep:
+        audits = files.read_audits(spark, report_dir)
+        marked = keep(preflight.review(audits, status, notes).drop("visually_reviewed").withColumn("visual_qa_complete", F.lit(True)))
+        if not marked.count():
+            raise Stop(ARGUMENT, "no reports")
+        _publish_all(reports.json_reports(marked, F.concat(sc.stem(F.col("doc_id")), F.lit(".audit.json"))), report_dir)
+        _publish_finals(marked, report_dir)
     return OK
 
 
 def run_normalise(spark: SparkSession, source: DataFrame, output_dir: str, points: float = 18.0, force: bool = False) -> tuple[int, list]:
     """The normaliser over every document of a folder: the code, and (path, paragraphs, characters in, characters out,
     error) of each. What is written is read back and compared before it is published."""
-    read = docx.paragraphs(source).persist()
+    with kept() as keep:
+        return _normalise(keep(docx.paragraphs(source)), source, output_dir, points, force, keep)
+
+
+def _normalise(read: DataFrame, source: DataFrame, output_dir: str, points: float, force: bool, keep: Callable[[DataFrame], DataFrame]) -> tuple[int, list]:
     good = read.where("error IS NULL").select("path", "paragraph", "text", normalizer.normalize(F.col("text")).alias("new"))
     wrong = good.where(F.size(normalizer.problems(F.col("new"))) > 0).select("path").distinct()
-    new = good.join(wrong, "path", "left_anti").select("path", "paragraph", F.col("new").alias("text")).persist()
-    made = docx.documents(new, points=points).persist()
+    new = keep(good.join(wrong, "path", "left_anti").select("path", "paragraph", F.col("new").alias("text")))
+    made = keep(docx.documents(new, points=points))
     bad = docx.verify_written(made, new).select("path").distinct()
     sound = made.join(bad, "path", "left_anti")
     counts = good.groupBy("path").agg(F.count("*").alias("paragraphs"), F.sum(F.length("text")).alias("n_in"), F.sum(F.length("new")).alias("n_out"))
@@ -179,7 +206,7 @@ def self_test(spark: SparkSession) -> list[str]:
 
 def run_concat(spark: SparkSession, source: DataFrame, output: str, first: int, last: int) -> int:
     """Numbered documents as one, in the order of their numbers; a number that is missing or there twice is an error."""
-    numbered = assembly.number_files(source).persist()
+    numbered = assembly.number_files(source)
     twice = assembly.duplicates(numbered, ["number"]).collect()
     missing = assembly.missing_numbers(numbered, "number", first, last).orderBy("number").collect()
     if twice or missing or not numbered.where("number IS NULL").isEmpty():

@@ -18,6 +18,24 @@ def codepoint_label(ch: Column) -> Column:
     return F.format_string("U+%04X", codepoint(ch))
 
 
+#: General categories by the numbers that the JVM gives them; fixed values.
+CATEGORIES = {
+    0: "Cn", 1: "Lu", 2: "Ll", 3: "Lt", 4: "Lm", 5: "Lo", 6: "Mn", 7: "Me", 8: "Mc", 9: "Nd", 10: "Nl", 11: "No", 12: "Zs", 13: "Zl", 14: "Zp",
+    15: "Cc", 16: "Cf", 18: "Co", 19: "Cs", 20: "Pd", 21: "Ps", 22: "Pe", 23: "Pc", 24: "Po", 25: "Sm", 26: "Sc", 27: "Sk", 28: "So", 29: "Pi", 30: "Pf",
+}
+
+
+def codepoint_category(ch: Column) -> Column:
+    """General category of the first character, by the JVM's tables."""
+    kinds = F.create_map(*(F.lit(x) for k, v in CATEGORIES.items() for x in (str(k), v)))
+    return kinds[F.java_method(F.lit("java.lang.Character"), F.lit("getType"), codepoint(ch))]
+
+
+def codepoint_name(ch: Column) -> Column:
+    """Name of the first character, by the JVM's tables; null where it has none."""
+    return F.java_method(F.lit("java.lang.Character"), F.lit("getName"), codepoint(ch))
+
+
 def unicode_escape(text: Column) -> Column:
     r"""ASCII form: ``\t \n \r \\``, printable ASCII as it is, else ``\xhh``, ``\uhhhh`` or ``\Uhhhhhhhh``."""
 
