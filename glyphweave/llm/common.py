@@ -43,20 +43,28 @@ class Scratch:
         self.spark = spark
         self.root = f"{scratch_root(spark)}/glyphweave/{name}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
+        self.tables: dict[str, DataFrame] = {}
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and return the table that reads it back."""
         n = sum(k.split("#")[0] == name for k in self.paths)
         self.paths[f"{name}#{n}"] = path = f"{self.root}/{name}-{n}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        self.tables[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self.tables[name]
 
-    def drop(self, name: str) -> None:
-        """Delete what was last saved under ``name``; no plan may read it any more."""
-        key = max((k for k in self.paths if k.split("#")[0] == name), key=lambda k: int(k.split("#")[1]))
+    def read(self, name: str) -> DataFrame:
+        """What was last saved under ``name``."""
+        return self.tables[name]
+
+    def drop(self, *names: str) -> None:
+        """Delete all that was saved under these names; no plan may read it any more."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.paths[key])
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for key in [k for k, path in self.paths.items() if path and k.split("#")[0] in names]:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths[key])
+            path.getFileSystem(conf).delete(path, True)
+            self.paths[key] = ""
 
 
 def text_batches(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

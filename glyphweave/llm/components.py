@@ -22,13 +22,17 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         return tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
     known = sign(stars)
+    name, other = "stars", "starred"
     while known[0]:
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch.save(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = scratch.save(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        scratch.drop("least", name)
         least = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = scratch.save(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        stars = scratch.save(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), other)
+        scratch.drop("least", "large")
+        name, other = other, name
         if (now := sign(stars)) == known:
             break
         known = now

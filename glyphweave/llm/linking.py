@@ -6,7 +6,9 @@ so they are taken in two steps that lose no component:
 1. Each item is compared with the least item of its key and size class. Copies with small changes mostly meet in
    this step, at a cost that is linear in the items. Links found make components.
 2. Keys whose items still lie in different components are met again. Only pairs across components are compared, in
-   blocks of bounded size, and of these only such as sizes, places and counts of shared keys allow.
+   blocks of bounded size, and of these only such as sizes, places and counts of shared keys allow, or sketches: an
+   item's sketch has a bit for each remainder of its shingles, set where an odd number of them has it. Sketches of two
+   sets differ in no more bits than the sets differ in shingles, so the bound loses no pair.
 
 A pair within one component needs no comparison: whatever it gives, components stay.
 """
@@ -35,6 +37,44 @@ def least_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarra
     return -(-num * (a + b) // (num + den))
 
 
+def parity(own: np.ndarray) -> bytes:
+    """The sketch of a set: at least four bits for each shingle, a power of two of them, 128 to 16,384."""
+    bits = min(1 << 14, max(128, 1 << (4 * len(own) - 1).bit_length()))
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _fold(x: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of 64 bits each) at a smaller width."""
+    while x.shape[1] > width:
+        half = x.shape[1] // 2
+        x = x[:, :half] ^ x[:, half:]
+    return x
+
+
+def sketch_distance(sketches: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which the sketches (objects of bytes) of rows i and j differ: what the sets differ by, at least."""
+    widths = np.array([len(s) // 8 for s in sketches], np.int64)
+    rank = np.zeros(len(sketches), np.int64)
+    tables = {}
+    for w in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == w)
+        rank[at] = np.arange(len(at))
+        tables[w] = np.frombuffer(b"".join(sketches[at]), "<u8").reshape(-1, w)
+    out = np.zeros(len(i), np.int64)
+    code = widths[i] * (1 << 20) + widths[j]
+    for c in np.unique(code).tolist():
+        a, b = divmod(c, 1 << 20)
+        least = min(a, b)
+        x, y = _fold(tables[a], least), _fold(tables[b], least)
+        pairs = np.flatnonzero(code == c)
+        step = max(1, (1 << 20) // least)
+        for at in range(0, len(pairs), step):
+            p = pairs[at : at + step]
+            out[p] = np.bitwise_count(x[rank[i[p]]] ^ y[rank[j[p]]]).sum(1)
+    return out
+
+
 def verify(scratch: Scratch, pairs: DataFrame, items: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts in ``items`` (id, text) have den * shared >= num * union; ids are longs.
 
@@ -74,13 +114,15 @@ def verify(scratch: Scratch, pairs: DataFrame, items: DataFrame, size: int, num:
     return met.repartition("b", "run").sortWithinPartitions("b", "run", "role").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _across(num: int, den: int, prefix: bool) -> Callable:
+def _across(num: int, den: int, prefix: bool, sketched: bool) -> Callable:
     """Pairs across components, from rows that come in runs of (key, lo, hi).
 
     With ``prefix``, a key that stands at some place in an item's order leaves no more than what stands behind it to
     be shared after it. A pair whose first shared key leaves too little cannot link, and is dropped at each such key.
+    With ``sketched``, pairs whose sketches differ by too much are dropped, and a pair is given at the least of the keys
+    at which both are met, so that it is given once.
     """
-    names = ("key", "lo", "hi", "id", "component", "size", "pos", "side")
+    names = ("key", "lo", "hi", "id", "component", "size", "pos", "side") + (("sketch", "keys") if sketched else ())
 
     def pairs(c: dict[str, np.ndarray], cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Row numbers of all pairs of each run that its block is to compare."""
@@ -103,6 +145,14 @@ def _across(num: int, den: int, prefix: bool) -> Callable:
             left = np.minimum(n - c["pos"][i], m - c["pos"][j]) if prefix else np.minimum(n, m)
             keep = (c["component"][i] != c["component"][j]) & (left >= least_overlap(n, m, num, den)) & whole
             i, j = i[keep], j[keep]
+            if sketched and len(i):
+                n, m = n[keep], m[keep]
+                at, both = np.unique(np.concatenate([i, j]), return_inverse=True)
+                far = sketch_distance(c["sketch"][at], both[: len(i)], both[len(i) :])
+                near = (n + m - far) // 2 >= least_overlap(n, m, num, den)
+                i, j = i[near], j[near]
+                first = [c["key"][x] == np.intersect1d(c["keys"][x], c["keys"][y])[0] for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+                i, j = i[np.array(first, bool)], j[np.array(first, bool)]
             swap = c["id"][i] < c["id"][j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             if len(i):
@@ -156,17 +206,20 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
 
 
-def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size: int, num: int, den: int, prefix: bool, same: DataFrame | None = None, tied: DataFrame | None = None) -> DataFrame:
+def link_components(scratch: Scratch, buckets: str, items: DataFrame, size: int, num: int, den: int, prefix: bool, same: DataFrame | None = None, tied: DataFrame | None = None) -> DataFrame:
     """(id, component) of the items that link with another one.
 
-    ``buckets``: a stored table (key, id, size, pos) of longs and ints, where ``size`` counts the item's shingles and
-    ``pos`` is the key's place among the item's keys (0 without ``prefix``). ``items``: (id, text). ``size``, ``num``, ``den``: words of a shingle, and the least similarity num / den. ``prefix``: keys
+    ``buckets``: name of a table in ``scratch`` (key, id, size, pos, sketch) of longs, ints and bytes, dropped when it
+    is used up. ``size`` counts the item's shingles and ``pos`` is the key's place among the item's keys (0 without
+    ``prefix``). Without ``prefix``, one row of each item has its sketch and no key. ``items``: (id, text). ``size``, ``num``,
+    ``den``: words of a shingle, and the least similarity num / den. ``prefix``: keys
     are the first shingles, in one order, of each item: all but ceil(num * size / den) - 1; the keys that two items
     share then bound their overlap. ``same``: (id, first) of items that equal another item, which alone is then met.
     ``tied``: further links (a, b) that need no comparison.
     """
-    keys = scratch.save(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
-    shared = buckets.join(keys, "key")
+    keyed = scratch.read(buckets).where("key IS NOT NULL").select("key", "id", "size", "pos")
+    keys = scratch.save(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
+    shared = keyed.join(keys, "key")
     if same is not None:
         shared = scratch.save(shared, "met")
         renamed = same.select(F.col("id").alias("__i"), F.col("first").alias("__f"))
@@ -174,6 +227,9 @@ def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size
     # sizes of one class differ by less than the similarity allows
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(den / num)) + F.lit(1e-9)).cast("int")
     shared = scratch.save(shared.distinct().withColumn("band", band), "shared")
+    if not prefix:
+        sketches = scratch.save(scratch.read(buckets).where("sketch IS NOT NULL").select("id", "sketch"), "sketches")
+    scratch.drop(buckets, "keys", "met")
 
     def enough(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose shared keys, with all that stands behind the keys of one of them, may suffice."""
@@ -187,26 +243,39 @@ def link_components(scratch: Scratch, buckets: DataFrame, items: DataFrame, size
     hubs = scratch.save(hubs.select("key", "band", F.col("hub.id").alias("hub"), F.col("hub.size").alias("m")), "hubs")
     met = shared.join(hubs, ["key", "band"]).where("id <> hub")
     first = scratch.save(enough(met.groupBy(F.col("id").alias("a"), F.col("hub").alias("b"), F.col("size").alias("n"), "m").agg(F.count("*").alias("shared"))).distinct(), "first")
+    scratch.drop("hubs")
     found = verify(scratch, first, scratch.save(_texts(items, _ends(first)), "texts"), size, num, den)
     links = scratch.save(found if tied is None else found.union(tied), "links")
+    scratch.drop("texts", "runs")
     comps = scratch.save(components(scratch, links), "components")
 
     labelled = shared.join(comps, "id", "left").select("key", "id", "size", "pos", F.coalesce("component", "id").alias("component"))
     labelled = scratch.save(labelled, "labelled")
     split = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).where("x <> y")
     split = scratch.save(split.select("key", "n"), "split")
-    side = F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
-    dealt = labelled.join(split, "key").withColumn("side", side).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.select("key", F.least("side", "x").alias("lo"), F.greatest("side", "x").alias("hi"), "side", "id", "size", "pos", "component")
-    met = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_across(num, den, prefix), "a bigint, b bigint, n bigint, m bigint")
+    dealt = labelled.join(split, "key")
+    if not prefix:
+        dealt = scratch.save(dealt, "dealt")
+        met_at = dealt.groupBy("id").agg(F.collect_set("key").alias("keys"))
+        wanted = sketches.join(met_at, "id").groupBy("id").agg(F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+        dealt = dealt.join(wanted, "id")
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.select("key", F.least("side", "x").alias("lo"), F.greatest("side", "x").alias("hi"), "side", "id", "size", "pos", "component", *([] if prefix else ["sketch", "keys"]))
+    met = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_across(num, den, prefix, not prefix), "a bigint, b bigint, n bigint, m bigint")
     pairs = scratch.save(met.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    scratch.drop("labelled", "split", "dealt", "sketches", "first")
     if prefix:  # count what they share among the keys
         lists = scratch.save(shared.join(_ends(pairs), "id", "left_semi").groupBy("id").agg(F.collect_set("key").alias("keys")), "lists")
         side_of = lambda end: lists.select(F.col("id").alias(end), F.col("keys").alias(f"keys_{end}"))
         both = pairs.join(side_of("a"), "a").join(side_of("b"), "b")
         pairs = enough(both.withColumn("shared", F.size(F.array_intersect("keys_a", "keys_b"))))
     second = scratch.save(pairs.select("a", "b").distinct(), "second")
-    more = scratch.save(verify(scratch, second, scratch.save(_texts(items, _ends(second)), "texts"), size, num, den), "links")
-    if more.isEmpty():
-        return comps
-    return scratch.save(components(scratch, links.union(more)), "components")
+    scratch.drop("shared", "pairs", "lists")
+    more = scratch.save(verify(scratch, second, scratch.save(_texts(items, _ends(second)), "texts"), size, num, den), "more")
+    scratch.drop("texts", "runs", "second")
+    if not more.isEmpty():
+        both = links.union(more)
+        scratch.drop("components")
+        comps = scratch.save(components(scratch, both), "components")
+    scratch.drop("links", "more")
+    return comps

@@ -92,7 +92,7 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (ids, sizes, places))], names=["key", "id", "size", "pos"])
 
-    buckets = scratch.save(own.mapInArrow(prefixes, "key bigint, id bigint, size int, pos int"), "buckets")
+    scratch.save(own.mapInArrow(prefixes, "key bigint, id bigint, size int, pos int"), "buckets")
     copies = known.where("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min("id").alias("first"), F.count("*").alias("many")).where("many > 1")
     copies = scratch.save(copies.drop("many"), "copies")
     named = scratch.save(known.join(copies, ["n", "f1", "f2"], "left").select("id", "n", F.coalesce("first", "id").alias("first")), "named")
@@ -102,6 +102,6 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     tied = named.where("several AND id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
     named = scratch.save(named.select("id", "n", F.when(F.col("several"), F.col("id")).otherwise(F.col("first")).alias("first")), "named")
     same = scratch.save(named.where("id <> first").select("id", "first").distinct(), "same")
-    comps = link_components(scratch, buckets, own.where("id IS NOT NULL"), size, num, den, True, same, tied)
+    comps = link_components(scratch, "buckets", own.where("id IS NOT NULL"), size, num, den, True, same, tied)
     found = named.join(comps.withColumnRenamed("id", "first"), "first", "left")
     return found.select(F.col("id").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "first").alias("component_id"))

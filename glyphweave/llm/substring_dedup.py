@@ -4,15 +4,17 @@ Paragraphs are lines. Each distinct paragraph has a MinHash signature over its w
 are tuned for recall. Paragraphs that collide in a band are compared by the exact Jaccard similarity of their
 shingles; those that link make components, and of every component's occurrences all but the first are to be removed.
 
-Besides, any run of 50 words that two texts share is found wherever it stands, within paragraphs or over short lines: the
-least of the hashes of its runs of 25 words is its fingerprint, and runs whose fingerprint occurs in several texts are
-grouped by their own hashes.
+Whole texts of 50 words or more that are equal count as occurrences as well. In what is not removed by then, any run of
+50 words that two texts share is found wherever it stands, within paragraphs or over short lines: the least of the
+hashes of its runs of 25 words is its fingerprint, and runs whose fingerprint occurs in several texts are grouped by
+their own hashes.
 """
 
 from __future__ import annotations
 
-import re
+import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, text_batches
-from .linking import link_components
-from .shingles import _powers, mix, shingle_sets, words
+from .linking import link_components, parity
+from .shingles import mix, placed_words, shingle_sets
 
 #: Words of a run that is found wherever it stands, and of those from which its fingerprint is chosen.
 RUN, PRINT = 50, 25
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_BASE = 0x9E3779B97F4A7C15
 
 
 def tune(similarity: float, recall: float, most: int = 64) -> tuple[int, int]:
@@ -50,10 +52,10 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     flat = np.concatenate(sets)
     keys = np.zeros((len(sets), bands), np.uint64)
-    seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
+    seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
     for b in range(bands):
-        for r in range(rows):
-            least = np.minimum.reduceat(mix(flat ^ seeds[b * rows + r]), starts)
+        for r in range(rows):  # the shingles' hashes are random already: an odd factor orders them anew
+            least = np.minimum.reduceat(flat * seeds[b * rows + r], starts)
             keys[:, b] = mix(keys[:, b] + least)
         keys[:, b] ^= seeds[b]
     return keys
@@ -71,8 +73,18 @@ def paragraphs_of(text: str, least_words: int) -> list[tuple[int, int, int, str]
     return out
 
 
-def _digest(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode()) >> 1
+def _digests(text: str) -> tuple[int, int]:
+    """126 bits of a text, as two integers."""
+    whole = xxhash.xxh3_128_intdigest(text.encode())
+    return whole & (1 << 63) - 1, whole >> 65
+
+
+@functools.lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64."""
+    up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
 
 
 def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -83,99 +95,165 @@ def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix((through[n:] - through[:-n]) * down[: len(hashes) + 1 - n])
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first word within it, fingerprint and hash of each run of ``RUN`` words that lies within one text."""
-    hashes, at = words(data, offsets)
-    if len(hashes) < RUN:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least, reach, width = _rolled(hashes, PRINT), 1, RUN - PRINT + 1
-    while reach < width:
-        step = min(reach, width - reach)
-        least, reach = np.minimum(least[:-step], least[step:]), reach + step
-    start = np.arange(len(hashes) - RUN + 1)
-    text = np.searchsorted(at, start, side="right") - 1
-    good = start + RUN <= at[text + 1]
-    text, start = text[good], start[good]
-    return text, start - at[text], least[good].view(np.int64), _rolled(hashes, RUN)[good].view(np.int64)
+@dataclass
+class Runs:
+    """Runs of ``RUN`` words, each within one text: ``text`` and ``word`` say where it starts, ``mark`` is its fingerprint,
+    which is that of its least 25 words. Words of the batch have ``hash``, ``byte`` and ``size``; ``at`` cuts them by text."""
+
+    hash: np.ndarray
+    byte: np.ndarray
+    size: np.ndarray
+    at: np.ndarray
+    start: np.ndarray
+    text: np.ndarray
+    mark: np.ndarray
+
+    @staticmethod
+    def of(data: np.ndarray, offsets: np.ndarray) -> Runs:
+        hashes, byte, size = placed_words(data, offsets)
+        at = np.searchsorted(byte, offsets)
+        if len(hashes) < RUN:
+            none = np.zeros(0, np.int64)
+            return Runs(hashes, byte, size, at, none, none, none.astype(np.uint64))
+        least, reach, width = _rolled(hashes, PRINT), 1, RUN - PRINT + 1
+        while reach < width:
+            step = min(reach, width - reach)
+            least, reach = np.minimum(least[:-step], least[step:]), reach + step
+        lengths = np.maximum(np.diff(at) - RUN + 1, 0)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        start = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + at[text]
+        return Runs(hashes, byte, size, at, start, text, least[start])
+
+    def marks(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, fingerprint and line of each stretch of runs with one fingerprint; -1 where its words stand on several lines."""
+        new = np.ones(len(self.start), bool)
+        new[1:] = (self.mark[1:] != self.mark[:-1]) | (self.text[1:] != self.text[:-1])
+        start, text, mark = self.start[new], self.text[new], self.mark[new]
+        rolled = _rolled(self.hash, PRINT) if len(start) else self.hash
+        place = start + (rolled[start[:, None] + np.arange(RUN - PRINT + 1)] == mark[:, None]).argmax(1) if len(start) else start
+        breaks = np.flatnonzero(data == 10)
+        first, last = np.searchsorted(breaks, self.byte[place]), np.searchsorted(breaks, self.byte[place + PRINT - 1])
+        return text, mark.view(np.int64), np.where(first == last, first - np.searchsorted(breaks, offsets)[text], -1)
+
+    def wholes(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of the runs with these numbers."""
+        if not len(rows):
+            return (np.zeros(0, np.int64),) * 2
+        return tuple(_rolled(x, RUN)[self.start[rows]].view(np.int64) for x in (self.hash, mix(self.hash ^ np.uint64(RUN))))
 
 
 def _shared_runs(scratch: Scratch, own: DataFrame, paragraphs: DataFrame, key: str) -> DataFrame:
     """Rows like those of ``paragraphs``, for runs of words that texts of several rows of ``own`` (k, t) share.
 
-    A run stays in the first text by key, if possible one where no removed paragraph touches it. Consecutive runs
-    with the same first text make one row. Rows that a paragraph's row says already are left out.
+    Fingerprints in removed paragraphs and removed whole texts are left out before they are compared. A run stays in
+    the first text by key, if possible one where no removed paragraph touches it. Consecutive runs with the same first
+    text make one row. Rows that a paragraph's row says already are left out.
     """
     kind = own.schema[0].dataType.simpleString()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end, data, offsets in text_batches(batch.column("t")):
-                text, _, prints, _ = runs_of(data, offsets)
-                both = np.unique(np.column_stack([text, prints]), axis=0) if len(text) else np.zeros((0, 2), np.int64)
-                digests = np.array([_digest(x or "") for x in batch.column("t").slice(at, end - at).to_pylist()], np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(both[:, 0] + at)), pa.array(digests[both[:, 0]]), pa.array(np.ascontiguousarray(both[:, 1]))], names=["k", "h", "fp"])
-
-    marks = scratch.save(own.mapInArrow(mark, f"k {kind}, h bigint, fp bigint"), "marks")
-    several = lambda *c: (F.min(F.struct(*c)).alias("first"), F.max(F.struct(*c)).alias("last"))
-    repeated = scratch.save(marks.groupBy("fp").agg(*several("k", "h")).where("first <> last").select("fp"), "prints")
-    spans = paragraphs.groupBy(F.col(key).alias("__k")).agg(F.collect_set(F.struct("start", "stop", "removed")).alias("spans"))
+                text, prints, line = Runs.of(data, offsets).marks(data, offsets)
+                wanted = np.unique(text)
+                digests = np.zeros(end - at, np.int64)
+                digests[wanted] = [_digests(x)[0] for x in batch.column("t").take(pa.array(wanted + at)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(text + at)), pa.array(digests[text]), pa.array(prints), pa.array(line)], names=["k", "h", "fp", "line"])
+
+    gone = paragraphs.where("removed").groupBy(F.col(key).alias("__k"))
+    gone = scratch.save(gone.agg(F.collect_set(F.when(F.col("whole").isNull(), F.col("paragraph").cast("bigint"))).alias("lines"), F.collect_set("whole").alias("texts")), "gone")
+    marks = own.mapInArrow(mark, f"k {kind}, h bigint, fp bigint, line bigint")
+    left = marks.join(gone.hint("shuffle_hash"), marks["k"].eqNullSafe(gone["__k"]), "left")
+    away = F.array_contains("lines", F.col("line")) | F.array_contains("texts", F.col("h"))
+    marks = scratch.save(left.where(~F.coalesce(away, F.lit(False))).select("k", "h", "fp"), "marks")
+    row = F.xxhash64("k", "h")
+    repeated = scratch.save(marks.groupBy("fp").agg(F.min(row).alias("first"), F.max(row).alias("last")).where("first <> last").select("fp"), "prints")
+    scratch.drop("gone")
+    spans = paragraphs.groupBy(F.col(key).alias("__s")).agg(F.collect_set(F.struct("start", "stop", "removed")).alias("spans"))
     spans = scratch.save(spans, "spans")
     wanted = marks.join(repeated, "fp").groupBy(F.col("k").alias("__k"), F.col("h").alias("__h")).agg(F.collect_set("fp").alias("fps"))
-    wanted = scratch.save(wanted, "wanted")
+    wanted = wanted.join(spans, F.col("__k").eqNullSafe(F.col("__s")), "left")
+    wanted = scratch.save(wanted.select(F.xxhash64("__k").alias("r"), F.col("__h").alias("h"), "fps", "spans"), "wanted")
+    scratch.drop("marks", "prints")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_digest(x.as_py() or "") for x in batch.column("t")], pa.int64())], names=["k", "t", "h"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_digests(x.as_py() or "")[0] for x in batch.column("t")], pa.int64())], names=["k", "t", "h"])
 
     texts = own.mapInArrow(digest, f"k {kind}, t string, h bigint")
-    texts = texts.join(wanted, texts["k"].eqNullSafe(wanted["__k"]) & (texts["h"] == wanted["__h"])).select("k", "h", "t", "fps")
-    texts = texts.join(spans, texts["k"].eqNullSafe(spans["__k"]), "left").select("k", "h", "t", "fps", "spans")
+    # equal rows are one; they meet where the join has dealt them already
+    texts = texts.withColumn("r", F.xxhash64("k")).join(wanted.hint("shuffle_hash"), ["r", "h"])
+    texts = texts.groupBy("r", "h").agg(*(F.first(c).alias(c) for c in ("k", "t", "fps", "spans")))
+    fields = ["k", "h", "run", "run2", "touched", "word", "start", "stop", "line"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            prints, spans_ = batch.column("fps"), batch.column("spans")
             for at, end, data, offsets in text_batches(batch.column("t")):
-                text, start, prints, runs = runs_of(data, offsets)
-                edges = np.searchsorted(text, np.arange(end - at + 1))
+                runs = Runs.of(data, offsets)
+                marks_, keep = runs.mark.view(np.int64), np.zeros(len(runs.start), bool)
+                edges = np.searchsorted(runs.text, np.arange(end - at + 1))
                 for i in range(end - at):
                     here = slice(edges[i], edges[i + 1])
-                    keep = np.isin(prints[here], np.array(batch.column("fps")[at + i].as_py(), np.int64))
-                    first, content = start[here][keep], batch.column("t")[at + i].as_py()
-                    places = np.array([m.span() for m in _WORD.finditer(content)], np.int64).reshape(-1, 2)
-                    a, b = places[first, 0], places[first + RUN - 1, 1]
-                    breaks = np.array([j for j, c in enumerate(content) if c == "\n"], np.int64)
-                    touched = np.zeros(len(a), bool)
-                    for x in batch.column("spans")[at + i].as_py() or ():
-                        touched |= x["removed"] & (a < x["stop"]) & (b > x["start"])
-                    row = pa.array(np.full(len(a), at + i))
-                    columns = [runs[here][keep], touched.astype(np.int32), *(v.astype(np.int32) for v in (first, a, b, np.searchsorted(breaks, a)))]
-                    yield pa.RecordBatch.from_arrays([batch.column("k").take(row), batch.column("h").take(row), *map(pa.array, columns)], names=["k", "h", "run", "touched", "word", "start", "stop", "line"])
-
-    runs = scratch.save(texts.mapInArrow(cut, f"k {kind}, h bigint, run bigint, touched int, word int, start int, stop int, line int").distinct(), "runs")
-    first = runs.groupBy("run").agg(F.min(F.struct("touched", "k", "h")).alias("first"), *several("k", "h")[1:], F.min(F.struct("k", "h")).alias("least"), F.count("*").alias("n"))
-    first = scratch.save(first.where("least <> last").select("run", "n", F.col("first.k").alias("fk"), F.col("first.h").alias("fh")), "firsts")
-    removed = F.struct("k", "h") != F.struct(F.col("fk").alias("k"), F.col("fh").alias("h"))
-    fields = F.struct("word", "start", "stop", "line", "n", "fk", F.xxhash64("fk", "fh").alias("component"), removed.alias("removed"))
-    lists = runs.join(first, "run").groupBy("k", "h").agg(F.collect_list(fields).alias("runs"))
-    lists = lists.join(spans, lists["k"].eqNullSafe(spans["__k"]), "left").select("k", "runs", "spans")
-    names, out_schema = paragraphs.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in paragraphs.schema.fields)
+                    keep[here] = np.isin(marks_[here], prints[at + i].values.to_numpy(zero_copy_only=False))
+                rows = np.flatnonzero(keep)
+                through = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+                first, last, text = runs.start[rows], runs.start[rows] + RUN - 1, runs.text[rows]
+                base = through[offsets[text]]
+                a, b = through[runs.byte[first]] - base, through[runs.byte[last] + runs.size[last]] - base
+                breaks = np.flatnonzero(data == 10)
+                line = np.searchsorted(breaks, runs.byte[first]) - np.searchsorted(breaks, offsets)[text]
+                touched, within = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+                edges = np.searchsorted(text, np.arange(end - at + 1))
+                for i in np.unique(text).tolist():
+                    here = slice(edges[i], edges[i + 1])
+                    for x in spans_[at + i].as_py() or ():
+                        if x["removed"]:
+                            touched[here] |= (a[here] < x["stop"]) & (b[here] > x["start"])
+                            within[here] |= (a[here] >= x["start"]) & (b[here] <= x["stop"])
+                left_ = np.flatnonzero(~within)
+                row = pa.array(text[left_] + at)
+                whole = runs.wholes(rows[left_])
+                columns = [*whole, touched[left_].astype(np.int32), *(v[left_].astype(np.int32) for v in (first - runs.at[text], a, b, line))]
+                yield pa.RecordBatch.from_arrays([batch.column("k").take(row), batch.column("h").take(row), *map(pa.array, columns)], names=fields)
+
+    runs = scratch.save(texts.mapInArrow(cut, f"k {kind}, h bigint, run bigint, run2 bigint, touched int, word int, start int, stop int, line int"), "runs")
+    scratch.drop("wanted")
+    place = F.struct("k", "h")
+    first = runs.groupBy("run", "run2").agg(F.min(F.struct("touched", "k", "h")).alias("first"), F.max(place).alias("last"), F.min(place).alias("least"), F.count("*").alias("n"))
+    first = scratch.save(first.where("least <> last").select("run", "run2", "n", F.col("first.k").alias("fk"), F.col("first.h").alias("fh")), "firsts")
+    removed = place != F.struct(F.col("fk").alias("k"), F.col("fh").alias("h"))
+    found = F.struct("word", "start", "stop", "line", "n", "fk", F.xxhash64("fk", "fh").alias("component"), removed.alias("removed"))
+    lists = runs.join(first, ["run", "run2"]).groupBy("k", "h").agg(F.collect_list(found).alias("runs"))
+    lists = lists.join(spans, lists["k"].eqNullSafe(spans["__s"]), "left").select("k", "runs", "spans")
+    out_fields = [f for f in paragraphs.schema.fields if f.name != "whole"]
+    names, out_schema = [f.name for f in out_fields], ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_fields)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(9)]
-            for k, own_runs, said in zip(*(batch.column(c).to_pylist() for c in ("k", "runs", "spans")), strict=True):
-                rows: list[dict] = []
-                for x in sorted(own_runs, key=lambda x: x["word"]):
-                    if rows and x["word"] <= rows[-1]["to"] + 1 and x["component"] == rows[-1]["component"] and x["removed"] == rows[-1]["removed"]:
-                        rows[-1].update(to=x["word"], stop=x["stop"], n=max(x["n"], rows[-1]["n"]))
-                    else:
-                        rows.append(x | {"to": x["word"]})
-                for x in rows:
-                    if any(p["start"] <= x["start"] and x["stop"] <= p["stop"] and (p["removed"] or not x["removed"]) for p in said or ()):
-                        continue
-                    for column, value in zip(out, (k, x["line"], x["start"], x["stop"], x["to"] - x["word"] + RUN, x["component"], x["n"], x["fk"], x["removed"]), strict=True):
-                        column.append(value)
-            kinds = [batch.schema.field("k").type, pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), batch.schema.field("k").type, pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+            all_runs = batch.column("runs")
+            flat = all_runs.flatten()
+            doc = np.repeat(np.arange(len(all_runs)), np.diff(all_runs.offsets.to_numpy()))
+            c = {n: flat.field(n).to_numpy(zero_copy_only=False) for n in ("word", "start", "stop", "line", "n", "component", "removed")}
+            order = np.lexsort((c["word"], doc))
+            doc, c = doc[order], {n: v[order] for n, v in c.items()}
+            cut_ = np.ones(len(doc), bool)
+            cut_[1:] = (doc[1:] != doc[:-1]) | (c["word"][1:] > c["word"][:-1] + 1) | (c["component"][1:] != c["component"][:-1]) | (c["removed"][1:] != c["removed"][:-1])
+            heads = np.flatnonzero(cut_)
+            tails = np.append(heads[1:], len(doc)) - 1
+            most = np.maximum.reduceat(c["n"], heads) if len(heads) else c["n"]
+            said = batch.column("spans").to_pylist()
+            keep = []
+            for j, (d, a, b, away) in enumerate(zip(doc[heads].tolist(), c["start"][heads].tolist(), c["stop"][tails].tolist(), c["removed"][heads].tolist(), strict=True)):
+                if not any(p["start"] <= a and b <= p["stop"] and (p["removed"] or not away) for p in said[d] or ()):
+                    keep.append(j)
+            head, tail = heads[keep], tails[keep]
+            columns = [
+                batch.column("k").take(pa.array(doc[head])), pa.array(c["line"][head].astype(np.int32)), pa.array(c["start"][head].astype(np.int32)), pa.array(c["stop"][tail].astype(np.int32)),
+                pa.array((c["word"][tail] - c["word"][head] + RUN).astype(np.int32)), pa.array(c["component"][head]), pa.array(most[keep].astype(np.int64)),
+                flat.field("fk").take(pa.array(order[head])), pa.array(c["removed"][head].astype(bool)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return lists.mapInArrow(merge, out_schema)
 
@@ -189,10 +267,15 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     such as occur once are not in the result of this step. Null and empty texts have no paragraphs. Keys may be null and may
     repeat; equal rows count as one occurrence. Similarity is at least num / den over shingles of ``size`` words.
 
-    Runs of 50 words or more that texts of several rows share, in any case of letters and with any white space between
-    words, have rows of their own unless a row of a paragraph covers them: paragraph is the line where they begin,
+    Equal texts of 50 words and two lines or more have a row each for the whole text, from line 0.
+
+    Runs of 50 words or more that texts of several rows share, outside of what these rows remove, in any case of letters
+    and with any white space between words, have rows of their own: paragraph is the line where they begin,
     component_id stands for the text where they come first, n_occurrences counts their most frequent 50 words.
 
+    An empty table gives no rows; columns besides the two are left out, so names can't clash; a very long text is worked
+    on as a whole, at some 100 bytes of memory a word.
+
     Copies of a paragraph are one item, so a passage that a third of all documents hold is met once.
     """
     spark = docs.sparkSession
@@ -206,13 +289,15 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             at, found = [], []
             for i, content in enumerate(batch.column("t")):
                 if content.is_valid:
-                    here = paragraphs_of(content.as_py(), least_words)
-                    at += [i] * len(here)
-                    found += [(n, a, b, len(c.split()), xxhash.xxh3_64_intdigest(c.encode()) >> 1) for n, a, b, c in here]
-            columns = [pa.array([f[j] for f in found], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(at, pa.int64())), *columns], names=["k", "paragraph", "start", "stop", "n_words", "id"])
+                    here, whole = paragraphs_of(content.as_py(), least_words), content.as_py()
+                    found += [(n, a, b, len(c.split()), *_digests(c), False) for n, a, b, c in here]
+                    if (n := len(whole.split())) >= RUN and "\n" in whole.strip():
+                        found.append((0, 0, len(whole), n, *_digests(whole), True))
+                    at += [i] * (len(found) - len(at))
+            columns = [pa.array([f[j] for f in found], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(at, pa.int64())), *columns], names=["k", "paragraph", "start", "stop", "n_words", "id", "id2", "whole"])
 
-    places = scratch.save(own.mapInArrow(cut, f"k {kind}, paragraph int, start int, stop int, n_words int, id bigint"), "places")
+    places = scratch.save(own.mapInArrow(cut, f"k {kind}, paragraph int, start int, stop int, n_words int, id bigint, id2 bigint, whole boolean"), "places")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,7 +305,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                 seen: dict[int, str] = {}
                 for content in batch.column("t").slice(at, end - at).to_pylist():
                     for _, _, _, c in paragraphs_of(content or "", least_words):
-                        seen[xxhash.xxh3_64_intdigest(c.encode()) >> 1] = c
+                        seen[_digests(c)[0]] = c
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.string())], names=["id", "text"])
 
     items = own.select("t").mapInArrow(texts, "id bigint, text string")
@@ -231,27 +316,35 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                 seen: dict[int, str] = {}
                 for content in batch.column("t").slice(at, end - at).to_pylist():
                     for _, _, _, c in paragraphs_of(content or "", least_words):
-                        seen[xxhash.xxh3_64_intdigest(c.encode()) >> 1] = c
+                        seen[_digests(c)[0]] = c
                 for i, j, data, offsets in text_batches(pa.array(list(seen.values()), pa.string())):
                     sets = shingle_sets(data, offsets, size)
                     keys = band_keys(sets, bands, rows).view(np.int64)
                     ids = np.array(list(seen)[i:j], np.int64)
                     sizes = np.array([len(s) for s in sets], np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, bands)), pa.array(np.repeat(sizes, bands)), pa.array(np.zeros(keys.size, np.int32))], names=["key", "id", "size", "pos"])
-
-    buckets = scratch.save(own.select("t").mapInArrow(sign, "key bigint, id bigint, size int, pos int"), "buckets")
-    comps = link_components(scratch, buckets, items, size, num, den, False)
-    counts = places.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    comps = scratch.save(comps.union(counts.join(comps, "id", "left_anti").select("id", F.col("id").alias("component"))), "all")
-    met = scratch.save(places.join(comps, "id").select("k", "paragraph", "start", "stop", "n_words", "component").distinct(), "occurrences")
+                    n = len(sets)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, bands)), pa.array(np.repeat(sizes, bands)), pa.array(np.zeros(keys.size, np.int32)), pa.nulls(keys.size, pa.binary())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(ids), pa.array(sizes), pa.array(np.zeros(n, np.int32)), pa.array([parity(s) for s in sets], pa.binary())], names=names)
+
+    names = ["key", "id", "size", "pos", "sketch"]
+    scratch.save(own.select("t").mapInArrow(sign, "key bigint, id bigint, size int, pos int, sketch binary"), "buckets")
+    comps = link_components(scratch, "buckets", items, size, num, den, False)
+    # paragraphs are equal if both numbers are; should only the first be, the lesser by the second counts
+    counts = places.groupBy("id").agg(F.count("*").alias("n"), F.min("id2").alias("id2"))
+    named = counts.join(comps, "id", "left").where("n > 1 OR component IS NOT NULL").select("id", "id2", F.coalesce("component", "id").alias("component"))
+    named = scratch.save(named, "named")
+    scratch.drop("components")
+    met = scratch.save(places.join(named, ["id", "id2"]).select("k", "paragraph", "start", "stop", "n_words", "component", F.when(F.col("whole"), F.col("id")).alias("whole")).distinct(), "occurrences")
+    scratch.drop("places", "named")
     first = met.groupBy("component").agg(F.count("*").alias("n_occurrences"), F.min(F.struct("k", "paragraph", "start", "stop")).alias("first")).where("n_occurrences > 1")
     first = scratch.save(first, "first")
     paragraphs = met.join(first, "component").select(
         F.col("k").alias(key), "paragraph", "start", "stop", "n_words", F.col("component").alias("component_id"), "n_occurrences",
-        F.col("first.k").alias("first_key"), (F.struct("k", "paragraph", "start", "stop") != F.col("first")).alias("removed"),
+        F.col("first.k").alias("first_key"), (F.struct("k", "paragraph", "start", "stop") != F.col("first")).alias("removed"), "whole",
     )
     paragraphs = scratch.save(paragraphs, "paragraphs")
-    return paragraphs.unionAll(_shared_runs(scratch, own, paragraphs, key))
+    scratch.drop("occurrences", "first")
+    return paragraphs.drop("whole").unionAll(_shared_runs(scratch, own, paragraphs, key))
 
 
 def remove_paragraphs(docs: DataFrame, occurrences: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

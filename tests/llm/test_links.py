@@ -10,6 +10,7 @@ import pytest
 from glyphweave.llm.common import Scratch
 from glyphweave.llm.components import components
 from glyphweave.llm.embedding_join import near_boxes, near_vectors
+from glyphweave.llm.linking import parity, sketch_distance
 from glyphweave.llm.ngram_join import ngram_join
 from glyphweave.llm.substring_dedup import remove_paragraphs, substring_dedup, tune
 
@@ -172,3 +173,49 @@ def test_components_of_chains_and_stars(spark):
     found = {r.id: r.component for r in components(Scratch(spark, "t"), spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     nodes = {n for e in edges if e[0] != e[1] for n in e}
     assert found == least(nodes, edges[:-1])
+
+
+def test_words_with_equal_polynomials_are_different(docs_of):
+    first, second = "a", "b"
+    for _ in range(11):  # such words agree under every polynomial modulo 2**64
+        first, second = first + second, second + first
+    docs = docs_of([(1, f"{first} x y z"), (2, f"{second} x y z"), (3, f"{first.upper()} x  y z")])
+    assert {r.doc_id: r.component_id for r in ngram_join(docs, size=4).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_sketches_never_differ_by_more_than_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 2, 30, 33, 500, 520, 6000)]
+    sets += [np.unique(np.concatenate([x[: len(x) * 9 // 10], rng.integers(0, 1 << 63, len(x) // 10 + 1).astype(np.uint64)])) for x in sets]
+    sketches = np.array([parity(x) for x in sets], object)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    far = sketch_distance(sketches, i, j)
+    exact = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    assert (far <= exact).all() and (far[i == j] == 0).all()
+    near = (exact > 0) & (exact < 120)
+    assert (far[near] > 0.6 * exact[near] - 3).all()
+
+
+def test_substring_dedup_recall_against_brute_force(docs_of):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows, truth = [], {}
+    for i in range(150):
+        base = [word() for _ in range(rng.randrange(40, 120))]
+        rows.append((2 * i, " ".join(base)))
+        near = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            near[rng.randrange(len(near))] = word()
+        rows.append((2 * i + 1, " ".join(near)))
+    sets = {i: shingles(t, 5) for i, t in rows}
+    for i in range(0, 300, 2):
+        a, b = sets[i], sets[i + 1]
+        truth[i] = 5 * len(a & b) >= 4 * len(a | b)
+    found = substring_dedup(docs_of(rows)).collect()
+    by_component = {}
+    for r in found:
+        if r.n_words >= 40:
+            by_component.setdefault(r.component_id, set()).add(r.doc_id)
+    linked = {i for c in by_component.values() for i in c if i % 2 == 0 and i + 1 in c}
+    similar = {i for i, same in truth.items() if same}
+    assert len(similar) > 60 and len(linked & similar) >= 0.98 * len(similar)
