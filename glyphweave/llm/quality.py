@@ -24,8 +24,6 @@ from .common import Scratch, text_batches
 
 TEXT_FEATURES = ("upper", "digit", "mark", "symbol", "space", "wide", "repeated_words", "top_word", "next_same", "word_length", "one_letter", "stops", "marks_per_word", "repeated_pairs")
 META_FEATURES = ("log_chars", "log_lines", "log_line_mean", "log_line_max", "line_spread", "bytes_per_char", "known_lang", "known_source")
-#: Bounds of the score from which a document is accepted.
-CUTS = (0.02, 0.25)
 #: Characters counted as symbols rather than marks of a sentence.
 SYMBOLS = b"#$%&*+/<=>@[\\]^_`{|}~"
 
@@ -170,14 +168,17 @@ def _log_odds(values: list, y: np.ndarray) -> dict:
     return {v: math.log((good[v] + 5 * math.exp(base)) / (bad[v] + 5)) - base for v in {*good, *bad}}
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", quality: str = "quality", most_labels: int = 20_000, rounds: int = 3, pseudo: int = 400, sure: float = 0.97, lost: float = 0.001) -> QualityModel:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", quality: str = "quality", most_labels: int = 20_000, rounds: int = 3, pseudo: int = 400, sure: float = 0.97, cost: float = 3.0) -> QualityModel:
     """Fit on at most ``most_labels`` labelled documents, chosen by hash, and on pseudo-labels from all documents.
 
-    In each of ``rounds``, either view picks, over the whole corpus, the ``pseudo`` first by hash of the documents
-    of distinct texts that it is ``sure`` of, as many of each class as the labels have in proportion; these teach
-    the other view. A fifth of the labelled documents calibrates, and sets the score from which documents are
-    accepted: the one that rejects the share ``lost`` of good ones, within CUTS. Labels that are null or of one class only give a
-    model that accepts all. Documents labelled more than once count once for each label.
+    In each of ``rounds``, either view picks, over the whole corpus, the documents of distinct texts that it is surest
+    of, beyond ``sure``: ``pseudo`` in the first round, twice as many in the second and so on, as many of each class as
+    the labels have in proportion; these teach the other view. A fifth of the labelled documents calibrates the views
+    and their combination. A document is accepted where accepting it is expected to cost no more than rejecting it,
+    if rejecting a good one costs ``cost`` times as much as accepting a bad one: from a score of 1 / (1 + cost).
+
+    Labels that are null or of one class only, an empty table among them, give a model that accepts all. Documents
+    labelled more than once count once for each label; very long texts are read whole, a batch at a time.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     wanted = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(quality).cast("double").alias("y"))
@@ -208,9 +209,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         for view, column, other, n in ((views[0], "a", "b", len(TEXT_FEATURES)), (views[1], "b", "a", len(META_FEATURES))):
             xs, ys = [], []
             for label, share, test in ((1.0, good_share, lambda s: s >= edge), (0.0, 1 - good_share, lambda s: s <= -edge)):
-                firm = features.where(test(_logit_column(column, view, n)))
-                once = firm.groupBy("h").agg(F.min(other).alias("x"))  # copies of a text teach once
-                picked = once.orderBy(F.xxhash64(F.lit(r), "h"), "h").limit(max(1, round(pseudo * share))).collect()
+                score = _logit_column(column, view, n)
+                firm = features.where(test(score)).select("h", F.col(other).alias("x"), F.abs(score).alias("s"))
+                once = firm.groupBy("h").agg(F.min("x").alias("x"), F.max("s").alias("s"))  # copies of a text teach once
+                picked = once.orderBy(F.desc("s"), "h").limit(max(1, round(pseudo * share * (r + 1)))).collect()
                 xs += [p["x"] for p in picked]
                 ys += [label] * len(picked)
             found.append((np.array(xs, float), np.array(ys)))
@@ -222,10 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     truth = y[held].astype(float)
     platt = [Logistic.fit(x, truth, ridge=0.1) for x in raw]
     both = Logistic.fit(np.column_stack([p.logit(x) for p, x in zip(platt, raw, strict=True)]), truth, ridge=0.1)
-    model = QualityModel(tuple(views), tuple(platt), both, known)
-    good = model.scores(*(x[held & y][:, : x.shape[1] // 3] for x in (a, b)))[2]
-    model.cut = float(np.clip(np.quantile(good, lost), *CUTS))
-    return model
+    return QualityModel(tuple(views), tuple(platt), both, known, 1 / (1 + cost))
 
 
 def classify(docs: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

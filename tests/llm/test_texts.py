@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from glyphweave.llm import quality
 from glyphweave.llm.html_extraction import extract_main_text, main_text
 from glyphweave.llm.line_dedup import dedup_lines
-from glyphweave.llm.mixing import bisect_exponent, mix
+from glyphweave.llm.mixing import mix
 from glyphweave.llm.packing import pack
 from glyphweave.llm.queries import tokenizer_path
 from glyphweave.llm.secret_scan import read_ledger, scan_versions, spans_string
-from glyphweave.llm.tokens import encoder
+from glyphweave.llm.tokens import count_tokens, encoder
 
 PATTERNS = (
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 6),
@@ -142,7 +142,7 @@ def test_mixing_meets_its_targets(spark):
     for _, t, s in rows:
         sizes[s] += len((t or "").split())
     limit = 3.0
-    flat = bisect_exponent(lambda f: (sizes["big"] / sizes[None]) ** f <= limit)
+    flat = math.log(limit) / math.log(sizes["big"] / sizes[None])  # (big / least) ** flat = limit, solved by logarithms
     found = mix(docs, repeats=limit, blocks=16).collect()
     used, times = defaultdict(int), defaultdict(int)
     for r in found:
@@ -158,6 +158,17 @@ def test_mixing_meets_its_targets(spark):
     entropy = mix(docs, entropy=0.95, blocks=16).groupBy("source").agg(F.sum("mix_tokens").alias("n")).where("n > 0").collect()
     p = np.array([r.n for r in entropy]) / sum(r.n for r in entropy)
     assert abs(-(p * np.log(p)).sum() / math.log(4) - 0.95) < 0.01
+    shares = np.array([n for n in sizes.values() if n]) / sum(sizes.values())
+    grid = [w / w.sum() for w in (shares**e for e in np.linspace(0, 1, 2001))]  # exponents tried one by one
+    best = max((w for w in grid if -(w * np.log(w)).sum() / math.log(4) >= 0.95), key=lambda w: w.max())
+    assert np.allclose(np.sort(p), np.sort(best), atol=0.01)
+    counted = docs.withColumn("n_tokens", count_tokens(F.col("text"), tokenizer_path()))
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    assert all(r.n_tokens == len(plain.encode(r.text or "", add_special_tokens=False).ids) for r in counted.collect())
+    by_tokens = mix(counted, repeats=limit, tokens="n_tokens").collect()
+    assert all(r.mix_tokens == r.n_tokens for r in by_tokens) and {(r.doc_id, r.source) for r in by_tokens} == {(i, s) for i, _, s in rows}
     half = mix(docs, entropy=0.95, budget=2000, blocks=16).agg(F.sum("mix_tokens")).first()[0]
     assert 1700 < half <= 2000
     assert mix(docs.limit(0), repeats=2.0).count() == 0
