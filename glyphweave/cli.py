@@ -122,7 +122,7 @@ def _filter(spark: SparkSession, source: DataFrame, output_dir: str, report_dir:
         raise Stop(BLOCKED, "preflight: something is unknown, unresolved or unidentified")
     if audit_only:
         return OK
-    gates = keep(documents.document_gates(source, done, before, target, symbol))
+    gates = keep(documents.document_gates(source, done, before, target, symbol, keep))
     good = gates.where("passed").select(F.col("doc_id").alias("path"))
     outputs = done.files.join(good, "path", "left_semi")
     docx.publish(_outputs(outputs, ".filtered.docx"), output_dir, overwrite)
