@@ -278,9 +278,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
                     row = part[np.repeat(row, share)]
                     good = other <= len(cuts[w])
                     row, other = row[good], other[good].astype(np.int32)
-                    near = batch.take(pa.array(row))
                     i, j = np.minimum(own_stretch[row], other), np.maximum(own_stretch[row], other)
-                    yield pa.RecordBatch.from_arrays([near.column("width"), pa.array(i), pa.array(j), *(near.column(c) for c in ("stretch", "ord", "node", "n", "u"))], names=["width", "i", "j", "stretch", "ord", "node", "n", "u"])
+                    for a in range(0, len(row), 4096):  # few at a time, as each row carries its vector
+                        b = a + 4096
+                        near = batch.take(pa.array(row[a:b]))
+                        yield pa.RecordBatch.from_arrays([near.column("width"), pa.array(i[a:b]), pa.array(j[a:b]), *(near.column(c) for c in ("stretch", "ord", "node", "n", "u"))], names=["width", "i", "j", "stretch", "ord", "node", "n", "u"])
 
     dealt = placed.mapInArrow(deal, "width int, i int, j int, stretch int, ord bigint, node bigint, n bigint, u binary")
 

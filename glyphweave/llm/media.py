@@ -62,14 +62,19 @@ def split_images(media: bytes) -> list[bytes]:
     return out or [b""]
 
 
+OUTPUTS = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "width", "height", "feature", "error")
+
+
 def media_features(media: DataFrame, keep: tuple[str, ...] = ("doc_id",), column: str = "media") -> DataFrame:
     """Read stored JPEGs back: dimensions, thumbnail hashes, and what a carrier holds.
 
     Returns ``keep``, then payload_bytes, payload_sha256, tail_crc32 (of the payload's last 64 bytes; these three
     null where the file is no carrier), media_bytes, media_sha256, width, height (of the first image), feature
     (``<width>x<height>:<average hash>:<gradient hash>``, joined by ``;`` over images) and error. A null file counts
-    as empty; a file that is no baseline JPEG gets its ``error`` and null features.
+    as empty; a file that is no baseline JPEG gets its ``error`` and null features. Repeated rows stay, an empty table
+    gives no rows, very long files are read an image at a time; a name in ``keep`` that is one of these is left out.
     """
+    keep = tuple(k for k in keep if k not in OUTPUTS)
     own = media.select(*keep, F.col(column).alias("__media"))
     more = "payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, width int, height int, feature string, error string"
     names, schema = _schema(own, more)

@@ -44,7 +44,8 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     Documents link when den * shared >= num * union over their distinct shingles of ``size`` words; a text of fewer
     words is one shingle, one without words (or null) has none and links with nothing. Keys are integers; a row
     without one has no component. Rows with one key are one document, whose links are those of all its rows. Equal
-    sets are met once, by their least key.
+    sets are met once, by their least key. An empty table gives no rows; columns besides the two are left out, so names
+    can't clash; a very long text is one row of work, at some 50 bytes of memory a word.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")

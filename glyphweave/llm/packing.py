@@ -55,7 +55,8 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     ``tokenizer``: path of a tokenizer file on every executor. Every document's ids are followed by ``end_id``; a
     null or empty text is that id alone. Each row of ``docs`` is packed by itself, repeated rows and keys too. With
     ``with_ids``, the piece's ids come as little-endian unsigned 32-bit integers in ``ids``. Other columns are left
-    out. Sequences not full are to be padded to ``length``.
+    out, so names can't clash; an empty table gives no rows; a very long text is encoded whole, as one row of work, and
+    cut into pieces. Sequences not full are to be padded to ``length``.
 
     Tokenised once: pieces and leftovers go to one table in the shared folder. Only leftovers, at most ``windows``
     sequences a partition, are dealt anew.

@@ -230,8 +230,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 def classify(docs: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """All columns of ``docs``, and p_text, p_meta, score (probabilities of good quality) and accepted.
 
-    A null text counts as empty; null languages and sources have no say; repeated rows get the same scores. Input
-    columns with one of the four names are replaced. One pass without shuffle.
+    A null text counts as empty; null languages and sources have no say; repeated rows get the same scores; an empty
+    table stays empty; a very long text is one row of work. Input columns with one of the four names are replaced. One
+    pass without shuffle.
     """
     docs = docs.drop("p_text", "p_meta", "score", "accepted")
     names = docs.columns

@@ -348,19 +348,33 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
 
 def remove_paragraphs(docs: DataFrame, occurrences: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs``, its ``text`` without what ``occurrences`` marks as removed; lines of which nothing is left go."""
+    """All columns of ``docs``, its ``text`` without what ``occurrences`` marks as removed; lines of which nothing is left go.
+
+    Rows of ``docs`` that share a key are all cut alike; null and empty texts, and rows without a place to be removed,
+    stay as they are; an empty table stays empty, and with an empty ``occurrences`` nothing changes. A very long text is
+    cut in time in proportion to its lines and places. Columns of ``docs`` may have any names but __k and __gone.
+    """
     gone = occurrences.where("removed").groupBy(F.col(key).alias("__k")).agg(F.collect_set(F.struct("start", "stop")).alias("__gone"))
     names, at = docs.columns, docs.columns.index(text)
     joined = docs.join(gone.hint("shuffle_hash"), docs[key].eqNullSafe(gone["__k"]), "left").select(*(docs[c] for c in names), "__gone")
 
     def cut(content: str, spans: list[dict]) -> str:
-        lines, begin = [], 0
+        gaps: list[list[int]] = []  # apart from each other, in order
+        for x in sorted(spans, key=lambda x: x["start"]):
+            if gaps and x["start"] <= gaps[-1][1]:
+                gaps[-1][1] = max(gaps[-1][1], x["stop"])
+            else:
+                gaps.append([x["start"], x["stop"]])
+        lines, begin, i = [], 0, 0
         for line in content.split("\n"):
             stop, parts, pos = begin + len(line), [], begin
-            for x in sorted(spans, key=lambda x: x["start"]):
-                if x["start"] < stop and x["stop"] > pos:
-                    parts.append(content[pos : max(pos, x["start"])])
-                    pos = min(stop, x["stop"])
+            while i < len(gaps) and gaps[i][0] < stop:
+                if gaps[i][1] > pos:
+                    parts.append(content[pos : max(pos, gaps[i][0])])
+                    pos = min(stop, gaps[i][1])
+                if gaps[i][1] > stop:
+                    break
+                i += 1
             left = "".join([*parts, content[pos:stop]])
             if not parts or left.strip():
                 lines.append(left)
