@@ -8,21 +8,10 @@ from glyphweave import cli
 from glyphweave.operators import preflight
 from glyphweave.sources import docx, pages
 
+pytestmark = pytest.mark.usefixtures("small_plans")
 OPENING = "بِسمِ اللهِ الرحمنِ الرحيمِ"
 
 
-@pytest.fixture(autouse=True)
-def small_plans(spark):
-    """Documents of a few characters cost planning only: nothing is compiled for them."""
-    own = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
-    before = {k: spark.conf.get(k, None) for k in own}
-    for k, v in own.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in before.items():
-        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def write(folder, **texts):
     folder.mkdir(exist_ok=True)
     for name, lines in texts.items():
@@ -32,12 +21,9 @@ def write(folder, **texts):
 
 def test_filter_writes_outputs_and_reports(spark, tmp_path):
     source, out, reports = tmp_path / "in", tmp_path / "out", tmp_path / "reports"
-    write(source, one=[OPENING, "ب۝ت"], two=["something else"])
+    write(source, one=[OPENING, "ب۝ت"])
     args = ["--output-dir", str(out), "--report-dir", str(reports)]
     assert cli.main(["filter", str(tmp_path / "none"), *args], spark) == cli.ARGUMENT
-    assert cli.main(["filter", str(source), *args], spark) == cli.BLOCKED
-    assert json.loads((reports / "two.preflight.json").read_text())["identity"] == preflight.UNIDENTIFIED and not out.exists()
-    (source / "two.docx").unlink()
     assert cli.main(["filter", str(source), *args], spark) == cli.OK
     written = (out / "one.filtered.docx").read_bytes()
     texts = [r.text for r in docx.paragraphs(spark.createDataFrame([("x", bytearray(written))], "path string, content binary")).orderBy("paragraph").collect()]
@@ -58,6 +44,7 @@ def test_batch_gives_each_document_its_code(spark, tmp_path):
     (source / "sub").mkdir()
     args = [str(source), str(tmp_path / "out"), "--report-dir", str(tmp_path / "r"), "--audit-only"]
     assert cli.main(["batch", *args], spark) == cli.PARTIAL
+    assert json.loads((tmp_path / "r" / "two.preflight.json").read_text())["identity"] == preflight.UNIDENTIFIED and not (tmp_path / "out").exists()
     write(source / "sub", one=[OPENING])
     assert cli.main(["batch", *args, "--recursive"], spark) == cli.ARGUMENT
 
