@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +70,53 @@ def occurrences(segments: DataFrame) -> DataFrame:
     return rows.select("doc_id", "paragraph", "segment", "o.pos", "o.ch", "o.trigger", "o.special", "o.unknown", unicode_escape(F.col("o.context")).alias("context"))
 
 
+@functools.lru_cache(maxsize=1)
+def _escaped_sizes() -> np.ndarray:
+    """By code point, the characters of its escape."""
+    size = np.full(0x110000, 10, np.int64)
+    size[:0x10000], size[:0x100], size[32:127] = 6, 4, 1
+    size[[9, 10, 13, 92]] = 2
+    return size
+
+
+def special_occurrences(segments: DataFrame) -> DataFrame:
+    """Special characters with their contexts, as ``occurrences`` has them: doc_id, paragraph, segment, pos, codepoint,
+    context. The texts of a batch are escaped once, and contexts are pieces of that."""
+    own = segments.select("doc_id", "paragraph", "segment", F.coalesce("text", F.lit("")).alias("text"))
+    most = 1 << 18
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, at = batch.column("text").to_pylist(), 0
+            while at < len(texts):
+                end, size = at, 0
+                while end < len(texts) and (end == at or size + len(texts[end]) <= most):
+                    size, end = size + len(texts[end]), end + 1
+                joined = "".join(texts[at:end])
+                cp = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+                lengths = np.array([len(t) for t in texts[at:end]], np.int64)
+                ends = np.cumsum(lengths)
+                every = np.flatnonzero(np.isin(cp, rules.SPECIAL))
+                of = np.searchsorted(ends, every, "right")
+                first = ends - lengths
+                into = np.concatenate([[0], np.cumsum(_escaped_sizes()[cp])])
+                low, high = into[np.maximum(first[of], every - 14)], into[np.minimum(ends[of], every + 15)]
+                escaped = joined.encode("unicode_escape").decode("ascii")
+                names = pa.array([f"U+{c:04X}" for c in rules.SPECIAL])
+                code = np.zeros(len(every), np.int64)
+                for i, c in enumerate(rules.SPECIAL):
+                    code[cp[every] == c] = i
+                for k in range(0, len(every), 1 << 16):  # a text without end gives no batch without end
+                    part = slice(k, k + (1 << 16))
+                    context = [escaped[a:b] for a, b in zip(low[part].tolist(), high[part].tolist(), strict=True)]
+                    rows = pa.array(of[part] + at)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in range(3)), pa.array((every - first[of])[part].astype(np.int32)), names.take(pa.array(code[part])), pa.array(context, pa.string())], names=["doc_id", "paragraph", "segment", "pos", "codepoint", "context"])
+                at = end
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields[:3])
+    return own.mapInArrow(run, f"{schema}, pos int, codepoint string, context string")
+
+
 def kinds_of(ch: Column) -> dict[str, Column]:
     """What makes a character an occurrence; it depends on the character alone."""
     return {"trigger": rules.is_trigger(ch), "special": F.ascii(ch).isin(*rules.SPECIAL), "unknown": is_arabic(ch) & ~rules.is_known(ch)}

@@ -62,3 +62,12 @@ def test_upsert_stream(spark, tmp_path):
     spark.createDataFrame([(1, 3, "z")], "k int, o int, v string").write.mode("append").parquet(source)
     upsert.upsert_stream(rows, state, str(tmp_path / "c"), *args).trigger(availableNow=True).start().awaitTermination()
     assert {(r.k, r.v) for r in upsert.latest(spark.read.parquet(state), *args).collect()} == {(1, "z"), (2, "c")}
+
+
+def test_special_occurrences_are_those_of_all_occurrences(spark):
+    texts = ["بٓ\t\\ٗé😀ٰ" + "x" * 30 + "ۤ", "", None, "ٓ", "ٓٗ" * 40, "none"]
+    segs = spark.createDataFrame([(i, 0, 0, t) for i, t in enumerate(texts)], "doc_id int, paragraph int, segment int, text string")
+    expected = audit.occurrences(segs).where("special").select("doc_id", "paragraph", "segment", "pos", sc.codepoint_label(F.col("ch")), "context")
+    found = audit.special_occurrences(segs)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect())) and found.count() == 85
+    assert "transform(" not in found._jdf.queryExecution().executedPlan().toString()
