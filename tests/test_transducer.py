@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from glyphweave.operators import rules, transducer, transducer_arrays
+from glyphweave.operators import rules, transducer, transducer_arrays, transducer_patterns
 
 SCHEMA = "doc_id int, paragraph int, segment int, text string, surah_start boolean"
 GOLDEN = [
@@ -49,6 +49,22 @@ def test_plans_agree_on_random_texts(spark):
     assert {r.rule: r.n for r in transducer.decisions(lineage).collect()} == counts
 
 
+def test_patterns_agree_on_random_texts(spark):
+    rng = random.Random(11)
+    pool = [chr(c) for c in (*rules.KEEP, *rules.TRANSFORM, *rules.EFFECTIVE_DELETE, 0x06CC, 0x065E)] + list("  ا ا ا ٓٗۤ ١لاقي") + ["\u00a0١", "اٗٓ", "يٓ", "ٗا", "ٗٓا"]
+    rows = [(t, s) for t, _, s in GOLDEN]
+    for i in range(600):
+        own = rng.sample(pool, rng.randrange(2, 9)) if i % 2 else pool
+        head = "".join(c + rng.choice(["", "ٓ", "َ", "ٗ"]) for c in rng.choice(rules.INITIAL_FORMS)) + rng.choice([" ", ""]) if i % 5 == 0 else ""
+        rows.append((rng.choice(["", " "]) + head + "".join(rng.choice(own) for _ in range(rng.randrange(30))), i % 5 == 0))
+    arrays = {r.doc_id: r.text for r in transducer_arrays.transduce_texts(segments(spark, rows)).collect()}
+    wall, pairs = transducer_patterns.WALL, [(i, (rows[i - 1][0] + transducer_patterns.WALL if i else "") + t, (len(rows[i - 1][0]) + 1 if i else 0) if s else -1) for i, (t, s) in enumerate(rows)]
+    frame = spark.createDataFrame(pairs, "i int, text string, start int")
+    out = frame.select("i", transducer_patterns.output(F.col("text"), F.col("start")).alias("o"), transducer_patterns.decidable(F.col("text")).alias("d")).collect()
+    assert all(r.d == ("﷽" not in pairs[r.i][1]) for r in out)
+    assert {r.i: r.o.split(wall)[-1] for r in out if r.d} == {r.i: arrays[r.i] for r in out if r.d}
+
+
 def test_every_rule_of_the_ledger(spark):
     rows = [(chr(c), False) for c in (*rules.KEEP, *rules.TRANSFORM, *rules.EFFECTIVE_DELETE)]
     out = {r.doc_id: r.text for r in transducer_arrays.transduce_texts(segments(spark, rows)).collect()}
